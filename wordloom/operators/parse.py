@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import (
@@ -15,10 +15,19 @@ from wordloom.functions.ngrams import (
 )
 
 
-def parse_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
-    """``line_id, trigram, occurrences`` of the lines that match as a whole."""
+def parse_lines(
+    lines: DataFrame, word: str = WORD, observation: Observation | None = None
+) -> DataFrame:
+    """``line_id, trigram, occurrences`` of the lines that match as a whole.
+
+    An ``observation`` collects the counts of :func:`parse_report` while the lines pass by.
+    The pattern is matched once per line either way.
+    """
+    checked = lines.select("line_id", "line", is_ngram_line(F.col("line"), word).alias("ok"))
+    if observation is not None:
+        checked = checked.observe(observation, *_report(F.col("ok")))
     line = F.col("line")
-    return lines.where(is_ngram_line(line, word)).select(
+    return checked.where("ok").select(
         "line_id", line_trigram(line).alias("trigram"), line_occurrences(line).alias("occurrences")
     )
 
@@ -29,13 +38,12 @@ def rejected_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
 
 def parse_report(lines: DataFrame, word: str = WORD) -> DataFrame:
     """One row ``kept, rejected``, from one scan."""
-    return lines.agg(*parse_metrics(word))
+    return lines.agg(*_report(is_ngram_line(F.col("line"), word)))
 
 
-def parse_metrics(word: str = WORD) -> list:
-    """The report's counts, for ``agg`` or for ``DataFrame.observe`` during a write."""
-    ok = is_ngram_line(F.col("line"), word)
-    return [F.count_if(ok).alias("kept"), F.count_if(~ok).alias("rejected")]
+def _report(ok: Column) -> list[Column]:
+    kept = F.count_if(ok)
+    return [kept.alias("kept"), (F.count("*") - kept).alias("rejected")]
 
 
 def split_corpus(occurrences: DataFrame) -> DataFrame:

@@ -75,32 +75,32 @@ def slice_cuts(table: DataFrame, slice_rows: int, points: int) -> DataFrame:
     )
 
 
-def _cuts_upto(cuts: Column, key: Column, max_cuts: int) -> Column:
-    """Number of cuts not after ``key``, by binary search in the sorted array."""
-    steps = [1 << b for b in reversed(range(max(1, max_cuts).bit_length()))]
+def _with_slice(table: DataFrame, cuts: DataFrame, longest: int) -> DataFrame:
+    """``table`` with ``slice``, the number of cuts of its pair not after the row.
 
-    def step(found: Column, jump: Column) -> Column:
-        probe = found + jump
-        hit = (probe <= F.size(cuts)) & (F.get(cuts, probe - 1) <= key)
-        return F.when(hit, probe).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+    A binary search in the sorted array, one column step per halving. All of it is
+    generated code on the joined row, so the array is never copied; a pair without cuts
+    stays in slice 0.
+    """
+    found = table.join(F.broadcast(cuts), PAIR, "left").select(
+        "*", _rank_key().alias("key"), F.lit(0).alias("slice")
+    )
+    for bit in reversed(range(longest.bit_length())):
+        probe = F.col("slice") + (1 << bit)
+        hit = (probe <= F.size("cuts")) & (F.get("cuts", probe - 1) <= F.col("key"))
+        found = found.withColumn("slice", F.when(hit, probe).otherwise(F.col("slice")))
+    return found.drop("key")
 
 
-def number_rows_sliced(table: DataFrame, cuts: DataFrame, max_cuts: int) -> DataFrame:
+def number_rows_sliced(table: DataFrame, cuts: DataFrame, longest: int) -> DataFrame:
     """As :func:`number_rows`, but the pairs in ``cuts`` are numbered slice by slice.
 
     Slices follow the order of the rows, so a row's position is its place in its slice
-    plus the rows of the slices before. ``cuts`` holds at most one entry per
-    ``slice_rows`` rows of the table and is broadcast, as are the slice totals.
+    plus the rows of the slices before. ``cuts`` holds about one entry per ``slice_rows``
+    rows of the table, at most ``longest`` for one pair; it is broadcast, as are the
+    slice totals.
     """
-    key = _rank_key()
-    sliced = table.join(F.broadcast(cuts), PAIR, "left").withColumn(
-        "slice",
-        F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(
-            _cuts_upto(F.col("cuts"), key, max_cuts)
-        ),
-    )
+    sliced = _with_slice(table, cuts, longest)
     group = [*PAIR, "slice"]
     before = Window.partitionBy(*PAIR).orderBy("slice").rowsBetween(
         Window.unboundedPreceding, -1

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from wordloom.functions.ngrams import WORD
 from wordloom.operators.counts import count_trigrams
 from wordloom.operators.frequency import (
     frequency_cells,
@@ -30,14 +31,16 @@ from wordloom.sources.documents import document_occurrences
 # A pair with fewer followers than this is numbered in one task.
 MIN_SLICE_ROWS = 1_000_000
 # Upper bound on slices per table, and with it on the size of the broadcast cuts.
-MAX_SLICES = 4096
+MAX_SLICES = 32_768
 # Rows looked at per slice when placing the cuts.
-POINTS_PER_SLICE = 256
+POINTS_PER_SLICE = 64
 
 
-def counts_of_lines(lines: DataFrame) -> DataFrame:
+def counts_of_lines(
+    lines: DataFrame, word: str = WORD, observation: Observation | None = None
+) -> DataFrame:
     """``w1, w2, w3, r1, r2`` from n-gram lines; lazy."""
-    return count_trigrams(split_corpus(parse_lines(lines)))
+    return count_trigrams(split_corpus(parse_lines(lines, word, observation)))
 
 
 def counts_of_documents(docs: DataFrame) -> DataFrame:
