@@ -1,0 +1,35 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import pytest
+from compare import connect, differences
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_equals_sql(spark, con, name):
+    result = contract.queries()[name](spark, SF).toArrow().to_pandas()
+    assert len(result)
+    expected = con.sql(contract.oracle_sql()[name]).to_arrow_table().to_pandas()
+    assert differences(result, expected) is None
+
+
+def test_exported_lines_parse_back_to_the_table(spark, con):
+    from wordloom.sinks.text import TABLE_FIELDS, parse_fields
+
+    lines = contract.queries()["kb_export_lines"](spark, SF)
+    expected = con.sql(contract.oracle_sql()["kb_import"]).to_arrow_table().to_pandas()
+    assert differences(parse_fields(lines, TABLE_FIELDS).toPandas(), expected) is None
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["w1", "w2", "w3", "p", "pos"]
+    assert df.count() > 0

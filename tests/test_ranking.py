@@ -1,0 +1,110 @@
+"""Positions within a pair, also for pairs too large for one task."""
+
+import random
+
+import pytest
+from conftest import rows
+
+from wordloom.operators.ranking import number_rows, number_rows_sliced, slice_cuts
+from wordloom.plans import knowledge_base
+from wordloom.plans.knowledge_base import KnowledgeBase
+
+TABLE = "w1 STRING, w2 STRING, w3 STRING, p DOUBLE"
+
+
+def expected(table):
+    ordered = sorted(table, key=lambda r: (r[0], r[1], -r[3], r[2]))
+    out, last, pos = [], None, 0
+    for r in ordered:
+        pos = pos + 1 if last == r[:2] else 1
+        last = r[:2]
+        out.append((*r, pos))
+    return out
+
+
+@pytest.fixture
+def skewed():
+    """One pair holds two thirds of 3,000 rows, most of them tied on p."""
+    rng = random.Random(7)
+    hot = [("OF", "THE", f"W{i:05d}", rng.choice([0.5, 0.25, 0.25, 0.25, 0.25, 0.0])) for i in range(2000)]
+    warm = [("TO", "A", f"V{i:05d}", 0.25) for i in range(150)]
+    cold = [(f"A{i % 290:03d}", "B", f"C{i:04d}", rng.random()) for i in range(850)]
+    table = hot + warm + cold
+    rng.shuffle(table)
+    return table
+
+
+@pytest.mark.parametrize("slice_rows, points", [(10, 10), (100, 10), (64, 4), (1500, 16), (5000, 8)])
+def test_slices_number_as_one_window_does(frame, skewed, slice_rows, points):
+    table = frame(skewed, TABLE)
+    cuts = slice_cuts(table, slice_rows, points).cache()
+    longest = max([len(r.cuts) for r in cuts.collect()], default=0)
+    result = number_rows_sliced(table, cuts, longest)
+    assert [tuple(r) for r in result.collect()] == expected(skewed)
+    assert [tuple(r) for r in number_rows(table).collect()] == expected(skewed)
+
+
+def test_only_large_pairs_are_cut_and_evenly(frame, skewed):
+    table = frame(skewed, TABLE)
+    cuts = {(r.w1, r.w2): r.cuts for r in slice_cuts(table, 100, 100).collect()}
+    assert list(cuts) == [("OF", "THE")]
+    keys = sorted((-p, w3) for w1, _, w3, p in skewed if w1 == "OF")
+    assert [tuple(c) for c in cuts["OF", "THE"]] == keys[99::100]
+
+
+def test_cuts_do_not_depend_on_partitioning(frame, skewed):
+    table = frame(skewed, TABLE)
+    one = slice_cuts(table.repartition(1), 200, 20).collect()
+    many = slice_cuts(table.repartition(13, "w3"), 200, 20).collect()
+    assert one == many and one
+
+
+def test_job_slices_large_pairs(frame, monkeypatch):
+    """A third of all trigrams share a pair; it is numbered by many tasks."""
+    rng = random.Random(3)
+    counts = [("OF", "THE", f"W{i:04d}", rng.choice([0, 0, 0, 1, 2]), 1) for i in range(900)]
+    counts += [(f"P{i % 400}", "Q", f"W{i:04d}", 1, i % 3) for i in range(1800)]
+    source = frame(counts, "w1 STRING, w2 STRING, w3 STRING, r1 BIGINT, r2 BIGINT")
+    used = []
+    real = knowledge_base.number_rows_sliced
+    monkeypatch.setattr(
+        knowledge_base,
+        "number_rows_sliced",
+        lambda *a: used.append(a[2]) or real(*a),
+    )
+    kb = KnowledgeBase(source, min_slice_rows=16, max_slices=64)
+    ranked = [tuple(r) for r in kb.ranked.collect()]
+    assert used and used[0] >= 5
+    assert ranked == expected(rows(kb.table))
+    assert ranked == [tuple(r) for r in KnowledgeBase(source).ranked.collect()]
+
+
+def test_missing_probabilities_are_ordered_by_word(frame):
+    table = [("A", "B", f"C{i:02d}", None) for i in range(40)]
+    df = frame(table, TABLE)
+    cuts = slice_cuts(df, 5, 5).cache()
+    result = number_rows_sliced(df, cuts, 8)
+    assert [(r.w3, r.pos) for r in result.collect()] == [(f"C{i:02d}", i + 1) for i in range(40)]
+
+
+def test_sorted_table_spreads_a_large_pair(frame, skewed, spark):
+    from pyspark.sql import functions as F
+
+    from wordloom.operators.ranking import sort_table
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = sort_table(frame(skewed, TABLE))
+        assert [tuple(r) for r in result.collect()] == [r[:4] for r in expected(skewed)]
+        hot = result.where("w1 = 'OF'").groupBy(F.spark_partition_id()).count().count()
+        assert hot > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("k", [1, 2, 7])
+def test_next_words(frame, skewed, k):
+    from wordloom.operators.ranking import next_words
+
+    result = rows(next_words(frame(skewed, TABLE), k))
+    assert result == sorted((r for r in expected(skewed) if r[4] <= k), key=repr)

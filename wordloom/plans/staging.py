@@ -23,9 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="wordloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
