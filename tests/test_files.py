@@ -185,7 +185,8 @@ def test_a_local_session_gets_one_folder():
 def test_stage_writes_below_the_folder(spark, frame, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
     staged = staging.stage(frame([(1, "x")]), "some_table")
-    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["some_table"]
+    application = tmp_path / spark.sparkContext.applicationId
+    assert [p.name.split("-")[0] for p in application.iterdir()] == ["some_table"]
     assert staged.inputFiles()[0].removeprefix("file://").startswith(str(tmp_path))
     assert rows(staged) == [(1, "x")]
 

@@ -79,6 +79,22 @@ def test_job_slices_large_pairs(frame, monkeypatch):
     assert ranked == [tuple(r) for r in KnowledgeBase(source).ranked.collect()]
 
 
+def test_too_many_cuts_make_slices_larger(frame, monkeypatch):
+    counts = [("OF", "THE", f"W{i:04d}", i % 5, 1) for i in range(900)]
+    source = frame(counts, "w1 STRING, w2 STRING, w3 STRING, r1 BIGINT, r2 BIGINT")
+    sizes = []
+    real = knowledge_base.slice_cuts
+    monkeypatch.setattr(
+        knowledge_base,
+        "slice_cuts",
+        # Ten times the cuts asked for.
+        lambda table, rows_, points: sizes.append(rows_) or real(table, max(1, rows_ // 10), points),
+    )
+    kb = KnowledgeBase(source, min_slice_rows=1, max_slices=50)
+    assert [tuple(r) for r in kb.ranked.collect()] == expected(rows(kb.table))
+    assert sizes == [18, 36, 72, 144][: len(sizes)] and len(sizes) > 1
+
+
 def test_missing_probabilities_are_ordered_by_word(frame):
     table = [("A", "B", f"C{i:02d}", None) for i in range(40)]
     df = frame(table, TABLE)

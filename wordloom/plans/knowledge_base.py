@@ -28,9 +28,9 @@ from wordloom.operators.ranking import (
 from wordloom.plans.staging import MAX_BROADCAST_ROWS, stage
 from wordloom.sources.documents import document_occurrences
 
-# A pair with fewer followers than this is numbered in one task.
-MIN_SLICE_ROWS = 1_000_000
-# Upper bound on slices per table, and with it on the size of the broadcast cuts.
+# A pair with fewer than two slices of rows is numbered in one task.
+MIN_SLICE_ROWS = 2_000_000
+# Slices aimed at per table; twice as many cuts are the most that is broadcast.
 MAX_SLICES = 32_768
 # Rows looked at per slice when placing the cuts.
 POINTS_PER_SLICE = 64
@@ -119,18 +119,22 @@ class KnowledgeBase:
     def ranked(self) -> DataFrame:
         """``w1, w2, w3, p, pos`` in global order.
 
-        A pair holding many rows is cut into slices of at least ``min_slice_rows``; there
-        are at most ``max_slices`` of them, whatever the size of the table.
+        A pair holding many rows is cut into slices of at least ``min_slice_rows``, which
+        tasks number independently. The number of cuts is checked before they are
+        broadcast; should there be too many, the slices are made larger.
         """
         table, trigrams = self.table, self.sizes[1]
         slice_rows = max(self.min_slice_rows, -(-trigrams // self.max_slices))
-        if trigrams < 2 * slice_rows:
-            return number_rows(table)
-        cuts = stage(slice_cuts(table, slice_rows, POINTS_PER_SLICE), "slice_cuts")
-        longest = cuts.agg(F.max(F.size("cuts"))).first()[0]
-        if longest is None:
-            return number_rows(table)
-        return number_rows_sliced(table, cuts, longest)
+        while trigrams >= 2 * slice_rows:
+            cuts = stage(slice_cuts(table, slice_rows, POINTS_PER_SLICE), "slice_cuts")
+            size = F.size("cuts")
+            total, longest = cuts.agg(F.sum(size), F.max(size)).first()
+            if total is None:
+                break
+            if total <= 2 * self.max_slices:
+                return number_rows_sliced(table, cuts, longest)
+            slice_rows *= 2
+        return number_rows(table)
 
     def next_words(self, k: int) -> DataFrame:
         return next_words(self.table, k)

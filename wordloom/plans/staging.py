@@ -28,7 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """An unused path below one folder per application, which can go when that has ended."""
+    application = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return f"{application}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
