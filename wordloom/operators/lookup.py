@@ -40,15 +40,17 @@ def lookup_shuffled(
     them, and these are broadcast. The remaining keys are shuffled, none of them holding
     more than a ``1 / head_rows`` share of the table.
     """
+    key = ["r1", "r2"]
+    share = trigrams // head_rows
     cell_stats = _zero_filled(
         cells.join(_part(stats, 1), "r1", "left").join(_part(stats, 2), "r2", "left")
     )
-    share = trigrams // head_rows
-    head = F.broadcast(cell_stats.where(F.col("trigrams") > share).drop("trigrams"))
-    tail = cell_stats.where(F.col("trigrams") <= share).drop("trigrams")
-    key = ["r1", "r2"]
-    hot = counts.join(head, key)
-    rest = counts.join(head.select(*key), key, "left_anti").join(tail, key, "left")
+    is_hot = F.col("trigrams") > share
+    head = cell_stats.where(is_hot).drop("trigrams")
+    tail = cell_stats.where(~is_hot).drop("trigrams")
+    head_keys = cells.where(is_hot).select(*key)
+    hot = counts.join(F.broadcast(head), key)
+    rest = counts.join(F.broadcast(head_keys), key, "left_anti").join(tail, key, "left")
     return _zero_filled(hot.unionByName(rest)).select("w1", "w2", "w3", "r1", "r2", *STATS)
 
 

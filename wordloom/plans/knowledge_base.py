@@ -90,7 +90,7 @@ class KnowledgeBase:
             return lookup_broadcast(self.counts, self.stats)
         return lookup_shuffled(
             self.counts,
-            frequency_cells(self.counts),
+            stage(frequency_cells(self.counts), "frequency_cells"),
             self.stats,
             trigrams,
             max(1, self.max_broadcast_rows),
