@@ -7,9 +7,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 
-from wordloom.operators.parse import rejected_lines
+from wordloom.operators.parse import parse_report, rejected_lines
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
 from wordloom.plans.staging import stage
 from wordloom.sinks.text import table_lines, write_lines
@@ -30,8 +30,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    """Write the table; return how many lines were kept and rejected (lines only)."""
-    report: Observation | None = None
+    """Write the table; with ``--rejects`` also return how many lines were kept and rejected."""
+    report: dict[str, int] = {}
     if args.input_format == "documents":
         counts = counts_of_documents(read_documents(spark, args.input))
     else:
@@ -40,14 +40,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
             if args.input_format != "parquet":
                 lines = stage(lines, "ngram_lines")
             write_lines(rejected_lines(lines), args.rejects)
-        report = Observation("lines")
-        counts = counts_of_lines(lines, observation=report)
+            report = parse_report(lines).first().asDict()
+        counts = counts_of_lines(lines)
     table = KnowledgeBase(counts).sorted
     if args.output_format == "text":
         write_lines(table_lines(table), args.output)
     else:
         table.write.parquet(args.output)
-    return dict(report.get) if report else {}
+    return report
 
 
 def main(argv: list[str] | None = None) -> None:

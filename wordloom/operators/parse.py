@@ -20,8 +20,9 @@ def parse_lines(
 ) -> DataFrame:
     """``line_id, trigram, occurrences`` of the lines that match as a whole.
 
-    An ``observation`` collects the counts of :func:`parse_report` while the lines pass by.
-    The pattern is matched once per line either way.
+    An ``observation`` collects the counts of :func:`parse_report` while the lines pass by;
+    lines of tasks that had to be run again are counted again. The pattern is matched once
+    per line either way.
     """
     checked = lines.select("line_id", "line", is_ngram_line(F.col("line"), word).alias("ok"))
     if observation is not None:
