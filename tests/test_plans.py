@@ -66,6 +66,13 @@ def test_next_words_limits_before_the_shuffle(kb):
     assert "WindowGroupLimit" in text[shuffle:]
 
 
+def test_many_next_words_use_the_sliced_numbering(kb):
+    assert "WindowGroupLimit" in plan(kb.next_words(1000))
+    many = kb.next_words(1001)
+    assert "rangepartitioning" in plan(many) and "WindowGroupLimit" not in plan(many)
+    assert many.count() == kb.table.count()
+
+
 def test_every_query_has_columns_and_sql(spark):
     queries, sql = contract.queries(), contract.oracle_sql()
     assert set(sql) <= set(queries)

@@ -66,6 +66,11 @@ class KnowledgeBase:
     def counts(self) -> DataFrame:
         return stage(self.source, "trigram_counts")
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        """``r1, r2, trigrams``; stored only for the shuffled lookup."""
+        return stage(frequency_cells(self.counts), "frequency_cells")
+
     @cached_property
     def stats(self) -> DataFrame:
         return stage(frequency_stats_wide(frequency_cells(self.counts)), "nr_tr")
@@ -90,7 +95,7 @@ class KnowledgeBase:
             return lookup_broadcast(self.counts, self.stats)
         return lookup_shuffled(
             self.counts,
-            stage(frequency_cells(self.counts), "frequency_cells"),
+            self.cells,
             self.stats,
             trigrams,
             max(1, self.max_broadcast_rows),
@@ -137,4 +142,14 @@ class KnowledgeBase:
         return number_rows(table)
 
     def next_words(self, k: int) -> DataFrame:
-        return next_words(self.table, k)
+        """The ``k`` most probable third words of every pair.
+
+        Spark limits pairs before the shuffle only up to a threshold of its own; for more
+        followers than that, the sliced numbering keeps large pairs out of one task.
+        """
+        threshold = self.source.sparkSession.conf.get(
+            "spark.sql.optimizer.windowGroupLimitThreshold"
+        )
+        if k <= int(threshold):
+            return next_words(self.table, k)
+        return self.ranked.where(F.col("pos") <= k)
