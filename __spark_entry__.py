@@ -26,6 +26,7 @@ from wordloom.operators.parse import (
     split_corpus,
     split_words,
 )
+from wordloom.operators.probability import WORDS
 from wordloom.operators.stopwords import without_stop_words
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
 from wordloom.plans.staging import broadcast_if_small, new_path
@@ -96,22 +97,18 @@ def _mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two differently shaped tables in one text folder, told apart by field count."""
     path = new_path(spark, "steps_text")
     kb = _kb(spark, sf_dir)
-    counts = key_value_lines(kb.counts, ["w1", "w2", "w3"], ["r1", "r2"])
-    table = key_value_lines(kb.table, ["w1", "w2", "w3"], ["p"])
+    counts = key_value_lines(kb.counts, WORDS, ["r1", "r2"])
+    table = table_lines(kb.table)
     write_lines(counts.unionByName(table), path)
     return read_text(spark, path)
 
 
 def _text_arity(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _mixed_text(spark, sf_dir)
-    parts = [
-        parse_fields(text, COUNT_FIELDS).select(F.lit("counts").alias("kind"), "w1", "w2", "w3"),
-        parse_fields(text, TABLE_FIELDS).select(F.lit("table").alias("kind"), "w1", "w2", "w3"),
-        other_lines(text, 4, 5).select(
-            F.lit("other").alias("kind"), *[F.lit(None).cast("string").alias(w) for w in ("w1", "w2", "w3")]
-        ),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    counts = parse_fields(text, COUNT_FIELDS).select(F.lit("counts").alias("kind"), *WORDS)
+    table = parse_fields(text, TABLE_FIELDS).select(F.lit("table").alias("kind"), *WORDS)
+    other = other_lines(text, 4, 5).select(F.lit("other").alias("kind"))
+    return counts.unionByName(table).unionByName(other, allowMissingColumns=True)
 
 
 def _named_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +268,9 @@ def oracle_sql() -> dict[str, str]:
         "ngram_lines": _sql(_LINES, "SELECT line_id, line FROM lines"),
         "sequence_scan": _sql(_LINES, "SELECT line_id, line FROM lines"),
         "ngram_parse": _sql(_PARSED, "SELECT line_id, w1, w2, w3, occurrences FROM parsed"),
-        "ngram_rejects": _sql([*_LINES, "checked"], "SELECT line_id, line FROM checked WHERE NOT ok"),
+        "ngram_rejects": _sql(
+            [*_LINES, "checked"], "SELECT line_id, line FROM checked WHERE NOT ok"
+        ),
         "ngram_parse_report": _sql(
             [*_LINES, "checked"],
             "SELECT count(*) FILTER (WHERE ok) AS kept, "
@@ -281,7 +280,9 @@ def oracle_sql() -> dict[str, str]:
             [*_LINES, "checked"],
             "SELECT CASE WHEN ok THEN 'kept' ELSE 'rejected' END AS output, line FROM checked",
         ),
-        "corpus_split": _sql([*_PARSED, "split"], "SELECT w1, w2, w3, part, occurrences FROM split"),
+        "corpus_split": _sql(
+            [*_PARSED, "split"], "SELECT w1, w2, w3, part, occurrences FROM split"
+        ),
         "trigram_counts": _sql(_COUNTS, "SELECT w1, w2, w3, r1, r2 FROM counts"),
         "corpus_total": _sql([*_COUNTS, "total"], "SELECT n FROM total"),
         "counts_unpivot": _sql([*_COUNTS, "unpivoted"], "SELECT r, part, other FROM unpivoted"),

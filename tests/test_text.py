@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from wordloom.operators.parse import parse_lines, split_words
 from wordloom.sources.documents import document_lines, document_trigrams, read_documents
@@ -39,8 +40,11 @@ def test_trigrams(frame, text, expected):
     assert sorted(r.trigram for r in found.collect()) == sorted(expected)
 
 
+ANY_TEXT = st.one_of(st.sampled_from("aBc Z.\n"), st.characters(exclude_categories=["Cs"]))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("aBc Z.\n"), st.characters(exclude_categories=["Cs"])), max_size=60), min_size=1, max_size=40))
+@given(st.lists(st.text(ANY_TEXT, max_size=60), min_size=1, max_size=40))
 def test_any_text(frame, texts):
     found = document_trigrams(frame(list(enumerate(texts)), DOCS))
     expected = Counter((i, t) for i, text in enumerate(texts) for t in trigrams(text))
@@ -80,4 +84,21 @@ def test_lines_parse_back(frame):
 def test_small_tables_are_spread_over_the_cores(spark):
     docs = read_documents(spark, "/root/testdata/sf0.001/documents.parquet")
     assert docs.columns == ["doc_id", "text"]
-    assert docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    per_task = docs.groupBy(F.spark_partition_id()).count()
+    assert per_task.count() >= spark.sparkContext.defaultParallelism
+
+
+def test_tables_with_many_splits_are_not_moved(spark):
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "20000",
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        docs = read_documents(spark, "/root/testdata/sf0.001/documents.parquet")
+        assert docs.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+        assert "Exchange" not in docs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 
 def unpivot_counts(counts: DataFrame) -> DataFrame:
     """``r, part, other``: each trigram's frequency in a part and in the other part."""
-    return counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("r1").alias("r"), F.lit(1).alias("part"), F.col("r2").alias("other")),
-                F.struct(F.col("r2").alias("r"), F.lit(2).alias("part"), F.col("r1").alias("other")),
-            )
+    def side(own: str, part: int, other: str):
+        return F.struct(
+            F.col(own).alias("r"), F.lit(part).alias("part"), F.col(other).alias("other")
         )
-    )
+
+    return counts.select(F.inline(F.array(side("r1", 1, "r2"), side("r2", 2, "r1"))))
 
 
 def frequency_cells(counts: DataFrame) -> DataFrame:

@@ -16,13 +16,14 @@ RENDERED_BOOKS = "1"
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Read ``doc_id, text`` and give every core a share of the tokenizing.
 
-    A table smaller than one scan split per core is spread first: its text is moved once,
-    before it grows into trigrams. A large table already has more splits than cores and
-    is left as it is, so no text is shuffled there.
+    Spark cuts a small table into about one split per core, but a split without the start of
+    a row group stays empty. A table of less than two splits per core is therefore
+    spread first: its text is moved once, before it grows into trigrams. A larger one is
+    left as it is, so no text is shuffled there.
     """
     docs = spark.read.parquet(path).select("doc_id", "text")
     cores = spark.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < cores:
+    if docs.rdd.getNumPartitions() < 2 * cores:
         docs = docs.repartition(4 * cores)
     return docs
 
