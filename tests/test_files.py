@@ -141,6 +141,15 @@ def test_job_from_text(spark, tmp_path):
     assert [r.line for r in read_text(spark, str(tmp_path / "out")).collect()] == ["A B C\t0.5"]
 
 
+def test_job_with_another_word_pattern(spark, frame, tmp_path):
+    source, out, rejects = (str(tmp_path / d) for d in ("in", "out", "rejects"))
+    lines = [(0, "a b c\t1990\t3"), (1, "a b c\t1991\t1"), (2, "A B C\t1990\t1")]
+    frame(lines).write.parquet(source)
+    argv = [source, out, "--input-format", "parquet", "--word", "[a-z]+", "--rejects", rejects]
+    assert run(spark, arguments(argv)) == {"kept": 2, "rejected": 1}
+    assert [r.line for r in read_text(spark, out).collect()] == ["a b c\t0.5"]
+
+
 def test_job_from_documents(spark, frame, tmp_path):
     frame([(1, "a b c"), (2, "a b c d")], "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "in"))
     argv = [str(tmp_path / "in"), str(tmp_path / "out"), "--input-format", "documents", "--output-format", "parquet"]

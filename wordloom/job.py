@@ -9,6 +9,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from wordloom.functions.ngrams import WORD
 from wordloom.operators.parse import parse_report, rejected_lines
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
 from wordloom.plans.staging import stage
@@ -25,6 +26,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         "--input-format", choices=[*READERS, "documents"], default="sequence"
     )
     parser.add_argument("--output-format", choices=["text", "parquet"], default="text")
+    parser.add_argument("--word", default=WORD, help="regular expression of one word")
     parser.add_argument("--rejects", help="folder for the lines that are not n-gram lines")
     return parser.parse_args(argv)
 
@@ -39,9 +41,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
         if args.rejects:
             if args.input_format != "parquet":
                 lines = stage(lines, "ngram_lines")
-            write_lines(rejected_lines(lines), args.rejects)
-            report = parse_report(lines).first().asDict()
-        counts = counts_of_lines(lines)
+            write_lines(rejected_lines(lines, args.word), args.rejects)
+            report = parse_report(lines, args.word).first().asDict()
+        counts = counts_of_lines(lines, args.word)
     table = KnowledgeBase(counts).sorted
     if args.output_format == "text":
         write_lines(table_lines(table), args.output)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import text_trigrams
 
+DOCUMENTS_SCHEMA = "doc_id BIGINT, text STRING"
+
 # The fields of a rendered line that documents do not have.
 RENDERED_YEAR = "2000"
 RENDERED_PAGES = "1"
@@ -21,7 +23,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     spread first: its text is moved once, before it grows into trigrams. A larger one is
     left as it is, so no text is shuffled there.
     """
-    docs = spark.read.parquet(path).select("doc_id", "text")
+    docs = spark.read.schema(DOCUMENTS_SCHEMA).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     if docs.rdd.getNumPartitions() < 2 * cores:
         docs = docs.repartition(4 * cores)
