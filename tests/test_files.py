@@ -78,7 +78,7 @@ def test_missing_probability_is_nan_in_text(frame):
 
 def test_fields_by_arity(frame):
     lines = frame(
-        [("A B C\t1 2",), ("A B C\t0.5",), ("A B C  0.25\t ",), ("3\t1 2 2",), ("A B",), ("",)],
+        [("A B C\t1 2",), ("A B C\t0.5",), ("A B C  0.25\t \r\x0b\f",), ("3\t1 2 2",), ("A B",), ("",)],
         "line STRING",
     )
     assert rows(parse_fields(lines, COUNT_FIELDS)) == [("A", "B", "C", 1, 2)]
