@@ -11,18 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.llm.hash_forest import op4_hash_forest
 from wordloom.llm.packing import op7_best_fit_packing
 from wordloom.llm.sharding import op9_ring_shards
 from wordloom.llm.simhash import op3_simhash
+from wordloom.llm.suffix_dedup import op10_suffix_dedup
 from wordloom.llm.token_counts import op8_token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash": op3_simhash,
+        "op4_hash_forest": op4_hash_forest,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_token_counts": op8_token_counts,
         "op9_ring_shards": op9_ring_shards,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
