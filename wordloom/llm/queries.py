@@ -11,18 +11,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wordloom.llm.decontamination import op2_latent_decontamination
 from wordloom.llm.hash_forest import op4_hash_forest
+from wordloom.llm.language_id import op6_recurrent_language
+from wordloom.llm.line_quality import op1_line_quality
 from wordloom.llm.packing import op7_best_fit_packing
 from wordloom.llm.sharding import op9_ring_shards
 from wordloom.llm.simhash import op3_simhash
 from wordloom.llm.suffix_dedup import op10_suffix_dedup
 from wordloom.llm.token_counts import op8_token_counts
+from wordloom.llm.toxicity import op5_ordinal_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_quality": op1_line_quality,
+        "op2_latent_decontamination": op2_latent_decontamination,
         "op3_simhash": op3_simhash,
         "op4_hash_forest": op4_hash_forest,
+        "op5_ordinal_toxicity": op5_ordinal_toxicity,
+        "op6_recurrent_language": op6_recurrent_language,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_token_counts": op8_token_counts,
         "op9_ring_shards": op9_ring_shards,

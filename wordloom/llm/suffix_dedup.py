@@ -381,10 +381,14 @@ def cut_out(data: bytes, begins: np.ndarray, ends: np.ndarray) -> bytes:
     return b"".join(kept) + data[at:]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, hot: int = HOT, decode: bool = False
+) -> DataFrame:
     """``docs`` with ``n_bytes, n_removed, n_spans`` and ``kept``, the bytes that stay.
 
-    ``docs`` needs ``doc_id`` and ``text``; its columns are called ``c0, c1, …`` in the result.
+    ``docs`` needs ``doc_id`` and ``text``; its columns but ``text`` are called ``c0, c1, …`` in
+    the result, by their places. With ``decode``, ``kept`` is a text, without the bytes that no
+    longer make a character.
     """
     if length <= GRAM:
         raise ValueError(f"strings of more than {GRAM} bytes are needed")
@@ -434,7 +438,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         order = np.argsort(own.column("row").to_numpy(), kind="stable")
         owner, begins, ends = (own.column(c).to_numpy()[order] for c in ("row", "start", "stop"))
         lo, hi = np.searchsorted(owner, row), np.searchsorted(owner, row, "right")
-        kept, n_removed, n_spans = [], [], []
+        kept, n_bytes, n_removed, n_spans = [], [], [], []
         for i, cell in enumerate(table.column("data")):
             text = cell.as_py()
             removed = spans = 0
@@ -446,12 +450,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                     a, b = merged(a, b)
                     text = cut_out(text, a, b)
                     removed, spans = int((b - a).sum()), len(a)
-            kept.append(text)
+            kept.append(text.decode(errors="ignore") if decode else text)
+            n_bytes.append(len(cell.as_py()))
             n_removed.append(removed)
             n_spans.append(spans)
         out = table.drop_columns(["chunk", "row", "doc", "digest", "data"])
         for column, values, kind in (
-            ("n_removed", n_removed, pa.int64()), ("n_spans", n_spans, pa.int64()), ("kept", kept, pa.binary())
+            ("n_bytes", n_bytes, pa.int64()),
+            ("n_removed", n_removed, pa.int64()),
+            ("n_spans", n_spans, pa.int64()),
+            ("kept", kept, pa.string() if decode else pa.binary()),
         ):
             out = out.append_column(column, pa.array(values, kind))
         return out
@@ -461,7 +469,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     return (
         rows.groupBy("chunk")
         .cogroup(gone.groupBy("chunk"))
-        .applyInArrow(cut, schema + "n_removed long, n_spans long, kept binary")
+        .applyInArrow(
+            cut,
+            f"{schema}n_bytes long, n_removed long, n_spans long, kept {'string' if decode else 'binary'}",
+        )
     )
 
 
@@ -470,7 +481,7 @@ def op10_suffix_dedup(spark, sf_dir) -> DataFrame:
     found = remove_repeats(docs)
     return found.select(
         F.col("c0").cast("long").alias("doc_id"),
-        (F.octet_length("kept") + F.col("n_removed")).alias("n_bytes"),
+        "n_bytes",
         "n_removed",
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
