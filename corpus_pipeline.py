@@ -9,10 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wordloom.llm.common import stage
-from wordloom.llm.stages import near_duplicate_stage, packing_stage
+from wordloom.llm.stages import (
+    decontamination_stage,
+    near_duplicate_stage,
+    packing_stage,
+    repeated_passage_stage,
+    toxicity_stage,
+)
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("simhash_near_dedup", near_duplicate_stage),
+    ("suffix_array_dedup", repeated_passage_stage),
+    ("benchmark_decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 
