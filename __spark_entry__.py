@@ -30,7 +30,6 @@ from wordloom.operators.probability import WORDS
 from wordloom.operators.stopwords import without_stop_words
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
 from wordloom.plans.staging import broadcast_if_small, new_path
-from wordloom.sinks.sequence import unshift_keys, write_sequence_lines
 from wordloom.sinks.text import (
     COUNT_FIELDS,
     TABLE_FIELDS,
@@ -50,7 +49,7 @@ from wordloom.sources.documents import (
     document_trigrams,
     read_documents,
 )
-from wordloom.sources.lines import read_sequence_lines
+from wordloom.sources.lines import read_sequence_lines, read_text_lines
 
 try:  # the training-data operators are optional: a copy without their files still works
     import corpus_pipeline
@@ -71,6 +70,16 @@ STOP_WORDS = [
     "your",
 ]
 TOP_K = 3
+# More than Spark limits per group before a shuffle (1,000).
+MANY = 2000
+# Every tenth document keeps its spelling where rejecting lines is the point.
+SPELLED_EVERY = 10
+TEXT_FILES = 16
+# Bounds so small that the plans for large tables are taken at any scale.
+FEW_BROADCAST_ROWS, SMALL_SLICE = 5, 20
+# PySpark writes an integer key as LongWritable only above 32 bits: keys of the SequenceFiles
+# written below are raised by this even number, which leaves their parity as it is.
+KEY_SHIFT = 1 << 40
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,9 +87,15 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-gram lines of all documents, all of which the line pattern keeps."""
     return document_lines(_docs(spark, sf_dir))
 
 
+def _spelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with some in lower and mixed case, for the queries about rejecting lines."""
+    return document_lines(_docs(spark, sf_dir), SPELLED_EVERY)
+
+
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts_of_documents(_docs(spark, sf_dir))
 
@@ -91,8 +106,25 @@ def _kb(spark: SparkSession, sf_dir: str) -> KnowledgeBase:
 
 def _sequence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "sequence_lines")
-    write_sequence_lines(_lines(spark, sf_dir), path)
-    return unshift_keys(read_sequence_lines(spark, path))
+    pairs = _spelled_lines(spark, sf_dir).select(F.col("line_id") + KEY_SHIFT, "line")
+    pairs.rdd.map(tuple).saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        keyClass="org.apache.hadoop.io.LongWritable",
+        valueClass="org.apache.hadoop.io.Text",
+    )
+    lines = read_sequence_lines(spark, path)
+    return lines.withColumn("line_id", F.col("line_id") - KEY_SHIFT)
+
+
+def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their byte offsets, from text files with the lines in a fixed order, so that
+    offsets can be worked out from the lengths of the lines before."""
+    path = new_path(spark, "text_lines")
+    lines = _lines(spark, sf_dir).withColumn("file", F.pmod("line_id", F.lit(TEXT_FILES)))
+    lines = lines.repartition(TEXT_FILES, "file").sortWithinPartitions("file", "line_id", "line")
+    lines.select("file", "line").write.partitionBy("file").text(path)
+    return read_text_lines(spark, f"{path}/*")
 
 
 def _kb_import(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,26 +134,29 @@ def _kb_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two differently shaped tables in one text folder, told apart by field count."""
+    """Tables of different shapes in one text folder, told apart by field count: counts,
+    probabilities, and two that are neither (three and six fields)."""
     path = new_path(spark, "steps_text")
     kb = _kb(spark, sf_dir)
     counts = key_value_lines(kb.counts, WORDS, ["r1", "r2"])
     table = table_lines(kb.table)
-    write_lines(counts.unionByName(table), path)
+    words = kb.counts.select(F.concat_ws(" ", *WORDS).alias("line"))
+    wide = key_value_lines(kb.counts, [*WORDS, "r1"], ["r2", "r1"])
+    write_lines(counts.unionByName(table).unionByName(words).unionByName(wide), path)
     return read_text(spark, path)
 
 
 def _text_arity(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _mixed_text(spark, sf_dir)
-    counts = parse_fields(text, COUNT_FIELDS).select(F.lit("counts").alias("kind"), *WORDS)
-    table = parse_fields(text, TABLE_FIELDS).select(F.lit("table").alias("kind"), *WORDS)
-    other = other_lines(text, 4, 5).select(F.lit("other").alias("kind"))
-    return counts.unionByName(table).unionByName(other, allowMissingColumns=True)
+    counts = parse_fields(text, COUNT_FIELDS).select(F.lit("counts").alias("kind"), "*")
+    table = parse_fields(text, TABLE_FIELDS).select(F.lit("table").alias("kind"), "*")
+    other = other_lines(text, 4, 5).select(F.lit("other").alias("kind"), "line")
+    return counts.unionByName(table, True).unionByName(other, True)
 
 
 def _named_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "named_lines")
-    write_named(tag_lines(_lines(spark, sf_dir)), path)
+    write_named(tag_lines(_spelled_lines(spark, sf_dir)), path)
     kept, rejected = (read_named(spark, path, name) for name in ("kept", "rejected"))
     return kept.select(F.lit("kept").alias("output"), "line").unionByName(
         rejected.select(F.lit("rejected").alias("output"), "line")
@@ -158,11 +193,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _optional_queries() | {
         # Text and lines
         "doc_trigrams": lambda s, d: split_words(document_trigrams(_docs(s, d))),
-        "ngram_lines": _lines,
+        "ngram_lines": _spelled_lines,
+        "text_scan": _text_scan,
         "sequence_scan": _sequence_scan,
-        "ngram_parse": lambda s, d: split_words(parse_lines(_lines(s, d))),
-        "ngram_rejects": lambda s, d: rejected_lines(_lines(s, d)),
-        "ngram_parse_report": lambda s, d: parse_report(_lines(s, d)),
+        "ngram_parse": lambda s, d: split_words(parse_lines(_spelled_lines(s, d))),
+        "ngram_rejects": lambda s, d: rejected_lines(_spelled_lines(s, d)),
+        "ngram_parse_report": lambda s, d: parse_report(_spelled_lines(s, d)),
         "named_outputs": _named_outputs,
         "corpus_split": lambda s, d: split_words(split_corpus(parse_lines(_lines(s, d)))),
         # Counts and statistics
@@ -174,12 +210,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "step_union": _step_union,
         "trigram_nrtr": lambda s, d: _kb(s, d).stats_rows,
         "trigram_nrtr_wide": lambda s, d: _kb(s, d).with_stats,
+        "trigram_nrtr_shuffled": lambda s, d: KnowledgeBase(
+            _counts(s, d), max_broadcast_rows=FEW_BROADCAST_ROWS
+        ).stats_rows,
         # Probabilities and order
         "trigram_probability": lambda s, d: _kb(s, d).table,
         "trigram_probability_long": lambda s, d: _kb(s, d).table_from_rows,
         "kb_sorted": lambda s, d: _kb(s, d).ranked,
+        "kb_sorted_sliced": lambda s, d: KnowledgeBase(
+            _counts(s, d), min_slice_rows=SMALL_SLICE
+        ).ranked,
+        "kb_table_sorted": lambda s, d: _kb(s, d).sorted,
         "kb_from_lines": lambda s, d: KnowledgeBase(counts_of_lines(_lines(s, d))).ranked,
         "next_word_topk": lambda s, d: _kb(s, d).next_words(TOP_K),
+        "next_word_many": lambda s, d: _kb(s, d).next_words(MANY),
         "trigrams_without_stopwords": _without_stop_words,
         # Text out and in
         "kb_export_lines": lambda s, d: table_lines(_kb(s, d).sorted),
@@ -206,10 +250,16 @@ _STEPS = {
                           ELSE upper(a || ' ' || b || ' ' || c) END AS g
               FROM word3)
         GROUP BY doc_id, g""",
+    "upper_lines": """
+        SELECT doc_id AS line_id,
+               g || chr(9) || '2000' || chr(9) || CAST(count(*) AS VARCHAR)
+                 || chr(9) || '1' || chr(9) || '1' AS line
+        FROM (SELECT doc_id, upper(a || ' ' || b || ' ' || c) AS g FROM word3)
+        GROUP BY doc_id, g""",
     "checked": r"""
         SELECT line_id, line,
                regexp_full_match(line, '[A-Z]+ [A-Z]+ [A-Z]+\t[0-9]{4}\t[0-9]+.*') AS ok
-        FROM lines""",
+        FROM {lines}""",
     "parsed": r"""
         SELECT line_id,
                regexp_extract(line, '^([A-Z]+) ([A-Z]+) ([A-Z]+)\t', 1) AS w1,
@@ -253,6 +303,20 @@ _STEPS = {
                CAST(tr1 + tr2 AS DOUBLE)
                  / (CAST((SELECT n FROM total) AS DOUBLE) * CAST(nr1 + nr2 AS DOUBLE)) AS p
         FROM wide""",
+    # A double as Java prints it: digits with a point from 1e-3 on, d.dddE-n below.
+    "printed": r"""
+        SELECT w1, w2, w3,
+               CASE WHEN p IS NULL OR isnan(p) THEN 'NaN'
+                    WHEN p = 0 OR p >= 1e-3 THEN s
+                    ELSE left(digits, 1) || '.'
+                      || CASE WHEN length(digits) > 1 THEN substr(digits, 2) ELSE '0' END
+                      || 'E' || CAST(exponent AS VARCHAR) END AS t
+        FROM (SELECT *,
+                     CASE WHEN contains(s, 'e') THEN replace(split_part(s, 'e', 1), '.', '')
+                          ELSE regexp_replace(s, '^0\.0*', '') END AS digits,
+                     CASE WHEN contains(s, 'e') THEN CAST(split_part(s, 'e', 2) AS INTEGER)
+                          ELSE 1 - length(regexp_extract(s, '^0\.0*')) END AS exponent
+              FROM (SELECT w1, w2, w3, p, CAST(p AS VARCHAR) AS s FROM prob))""",
     "kb": """
         SELECT w1, w2, w3, p,
                row_number() OVER (PARTITION BY w1, w2 ORDER BY p DESC, w3) AS pos
@@ -260,6 +324,8 @@ _STEPS = {
 }
 _LINES = ["tok", "word3", "lines"]
 _PARSED = [*_LINES, "checked", "parsed"]
+_UPPER = ["tok", "word3", "upper_lines"]
+_UPPER_PARSED = [*_UPPER, "checked", "parsed"]
 _COUNTS = ["tok", "word3", "tri", "doc_split", "counts"]
 _NR_TR = [*_COUNTS, "unpivoted", "nr_tr"]
 _WIDE = [*_NR_TR, "wide"]
@@ -267,17 +333,21 @@ _PROB = [*_WIDE, "total", "prob"]
 
 
 def _sql(steps: list[str], select: str) -> str:
-    source = "split" if "split" in steps else "doc_split"
-    ctes = ",\n".join(f"{s} AS ({_STEPS[s].replace('{split}', source)})" for s in steps)
+    names = {
+        "{split}": "split" if "split" in steps else "doc_split",
+        "{lines}": "upper_lines" if "upper_lines" in steps else "lines",
+    }
+    ctes = ",\n".join(f"{s} AS ({_STEPS[s]})" for s in steps)
+    for name, step in names.items():
+        ctes = ctes.replace(name, step)
     return f"WITH {ctes}\n{select}"
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. ``kb_export_lines`` has none: the text of a double differs
-    between engines; ``kb_import`` compares the same lines after parsing them back."""
+    """DuckDB SQL per query."""
     stop = ", ".join(f"'{w.upper()}'" for w in STOP_WORDS)
     optional = llm_queries.oracle_sql() if llm_queries else {}
-    line_kb = [*_PARSED, "split", "counts", "unpivoted", "nr_tr", "wide", "total", "prob", "kb"]
+    line_kb = [*_UPPER_PARSED, "split", "counts", "unpivoted", "nr_tr", "wide", "total", "prob", "kb"]
     return optional | {
         "doc_trigrams": _sql(["tok", "word3", "tri"], "SELECT doc_id, w1, w2, w3 FROM tri"),
         "ngram_lines": _sql(_LINES, "SELECT line_id, line FROM lines"),
@@ -295,8 +365,14 @@ def oracle_sql() -> dict[str, str]:
             [*_LINES, "checked"],
             "SELECT CASE WHEN ok THEN 'kept' ELSE 'rejected' END AS output, line FROM checked",
         ),
+        "text_scan": _sql(
+            _UPPER,
+            "SELECT CAST(coalesce(sum(octet_length(encode(line)) + 1) OVER (PARTITION BY line_id % "
+            f"{TEXT_FILES} ORDER BY line_id, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), "
+            "0) AS BIGINT) AS line_id, line FROM upper_lines",
+        ),
         "corpus_split": _sql(
-            [*_PARSED, "split"], "SELECT w1, w2, w3, part, occurrences FROM split"
+            [*_UPPER_PARSED, "split"], "SELECT w1, w2, w3, part, occurrences FROM split"
         ),
         "trigram_counts": _sql(_COUNTS, "SELECT w1, w2, w3, r1, r2 FROM counts"),
         "corpus_total": _sql([*_COUNTS, "total"], "SELECT n FROM total"),
@@ -327,19 +403,36 @@ def oracle_sql() -> dict[str, str]:
             "SELECT w1, w2, w3, CAST(sum(tr) AS DOUBLE) / (CAST((SELECT n FROM total) AS DOUBLE) "
             "* CAST(sum(nr) AS DOUBLE)) AS p FROM nrtr GROUP BY w1, w2, w3",
         ),
+        "trigram_nrtr_shuffled": _sql(
+            [*_NR_TR, "nrtr"], "SELECT w1, w2, w3, part, nr, tr FROM nrtr"
+        ),
         "kb_sorted": _sql([*_PROB, "kb"], "SELECT w1, w2, w3, p, pos FROM kb"),
+        "kb_sorted_sliced": _sql([*_PROB, "kb"], "SELECT w1, w2, w3, p, pos FROM kb"),
+        "kb_table_sorted": _sql(_PROB, "SELECT w1, w2, w3, p FROM prob"),
         "kb_from_lines": _sql(line_kb, "SELECT w1, w2, w3, p, pos FROM kb"),
         "next_word_topk": _sql(
             [*_PROB, "kb"], f"SELECT w1, w2, w3, p, pos FROM kb WHERE pos <= {TOP_K}"
         ),
+        "next_word_many": _sql(
+            [*_PROB, "kb"], f"SELECT w1, w2, w3, p, pos FROM kb WHERE pos <= {MANY}"
+        ),
         "trigrams_without_stopwords": _sql(
             _COUNTS,
             "SELECT w1, w2, w3, r1, r2 FROM counts "
             f"WHERE w1 NOT IN ({stop}) AND w2 NOT IN ({stop}) AND w3 NOT IN ({stop})",
         ),
         "kb_import": _sql(_PROB, "SELECT w1, w2, w3, p FROM prob"),
+        "kb_export_lines": _sql(
+            [*_PROB, "printed"], "SELECT w1 || ' ' || w2 || ' ' || w3 || chr(9) || t AS line FROM printed"
+        ),
         "text_arity": _sql(
-            _COUNTS,
-            "SELECT kind, w1, w2, w3 FROM counts, (VALUES ('counts'), ('table')) AS k(kind)",
+            _PROB,
+            "SELECT 'counts' AS kind, w1, w2, w3, r1, r2, CAST(NULL AS DOUBLE) AS p, "
+            "CAST(NULL AS VARCHAR) AS line FROM counts "
+            "UNION ALL SELECT 'table', w1, w2, w3, NULL, NULL, p, NULL FROM prob "
+            "UNION ALL SELECT 'other', NULL, NULL, NULL, NULL, NULL, NULL, "
+            "w1 || ' ' || w2 || ' ' || w3 FROM counts "
+            "UNION ALL SELECT 'other', NULL, NULL, NULL, NULL, NULL, NULL, w1 || ' ' || w2 || ' ' "
+            "|| w3 || ' ' || r1 || chr(9) || r2 || ' ' || r1 FROM counts",
         ),
     }

@@ -1,12 +1,12 @@
 """Sources, sinks, the shared folder and the job."""
 
 import pytest
+from pyspark.sql.types import StructType
 from conftest import GOLDEN_LINES, rows
 
 from wordloom.job import arguments, run
 from wordloom.plans import staging
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_lines
-from wordloom.sinks.sequence import unshift_keys, write_sequence_lines
 from wordloom.sinks.text import (
     COUNT_FIELDS,
     TABLE_FIELDS,
@@ -52,12 +52,6 @@ def test_sequence_file_keeps_keys(spark, tmp_path):
     assert rows(lines) == sorted(pairs, key=repr)
 
 
-def test_written_sequence_file_reads_back(spark, frame, tmp_path):
-    pairs = [(i, f"line {i}") for i in (-3, 0, 1, 2**33)]
-    write_sequence_lines(frame(pairs), str(tmp_path / "out"))
-    assert rows(unshift_keys(read_sequence_lines(spark, str(tmp_path / "out")))) == sorted(pairs, key=repr)
-
-
 def test_text_lines_have_byte_offsets(spark, tmp_path):
     (tmp_path / "a").write_bytes("A B C\t1990\t3\né\nlast".encode())
     (tmp_path / "b").write_bytes(b"other\n")
@@ -95,7 +89,7 @@ def test_field_of_wrong_type_raises(frame):
 def test_statistics_lines_round_trip(golden):
     kb = KnowledgeBase(counts_of_lines(golden))
     lines = key_value_lines(kb.stats_rows, ["w1", "w2", "w3"], ["part", "nr", "tr"])
-    back = parse_fields(lines, "w1 STRING, w2 STRING, w3 STRING, part INT, nr BIGINT, tr BIGINT")
+    back = parse_fields(lines, StructType.fromDDL("w1 STRING, w2 STRING, w3 STRING, part INT, nr BIGINT, tr BIGINT"))
     assert rows(back) == rows(kb.stats_rows)
 
 
@@ -186,9 +180,78 @@ def test_a_cluster_must_name_the_folder():
         staging.shared_folder(FakeSession("yarn"))
 
 
-def test_a_local_session_gets_one_folder():
-    session = FakeSession("local[2]")
-    assert staging.shared_folder(session) == staging.shared_folder(session)
+def test_local_mode_must_name_it_too_but_local_sessions_do(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(FakeSession("local[2]"))
+    assert staging.shared_folder(spark)
+
+
+def test_what_a_knowledge_base_staged_can_be_freed(golden, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    kb = KnowledgeBase(counts_of_lines(golden)).build()
+    (folder,) = (tmp_path / golden.sparkSession.sparkContext.applicationId).iterdir()
+    assert {p.name for p in folder.iterdir()} == {"trigram_counts", "frequency_cells", "nr_tr"}
+    kb.free()
+    assert not folder.exists()
+
+
+def test_job_leaves_nothing_staged(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path / "shared"))
+    frame(GOLDEN_LINES).write.parquet(str(tmp_path / "in"))
+    argv = [str(tmp_path / "in"), str(tmp_path / "out"), "--input-format", "parquet"]
+    assert run(spark, arguments([*argv, "--rejects", str(tmp_path / "no")])) == {"kept": 7, "rejected": 3}
+    assert not list((tmp_path / "shared" / spark.sparkContext.applicationId).iterdir())
+
+
+def test_job_scans_its_input_once(spark, frame, tmp_path, monkeypatch):
+    from wordloom import job
+
+    reads = []
+    real = job.check_lines
+
+    def counted_lines(lines, word):
+        seen = spark.sparkContext.accumulator(0)
+        reads.append(seen)
+        return real(spark.createDataFrame(lines.rdd.map(lambda r: seen.add(1) or r), lines.schema), word)
+
+    monkeypatch.setattr(job, "check_lines", counted_lines)
+    frame(GOLDEN_LINES).write.parquet(str(tmp_path / "in"))
+    argv = [str(tmp_path / "in"), str(tmp_path / "out"), "--input-format", "parquet"]
+    run(spark, arguments([*argv, "--rejects", str(tmp_path / "no")]))
+    assert [seen.value for seen in reads] == [len(GOLDEN_LINES)]
+    assert [r.line for r in read_text(spark, str(tmp_path / "out")).collect()] == GOLDEN_TEXT
+
+
+def test_job_with_top_stop_words_and_step_tables(spark, frame, tmp_path):
+    source, out, counts, stats = (str(tmp_path / d) for d in ("in", "out", "counts", "stats"))
+    frame(GOLDEN_LINES).write.parquet(source)
+    (tmp_path / "stop").write_text("x  foo\n\ny\n")
+    argv = [source, out, "--input-format", "parquet", "--stop-words", str(tmp_path / "stop")]
+    argv += ["--top", "2", "--counts", counts, "--statistics", stats]
+    assert run(spark, arguments(argv)) == {}
+    lines = [r.line.split("\t") for r in read_text(spark, out).collect()]
+    assert [(key, value.split(" ")[1]) for key, value in lines] == [("A B C", "1"), ("A B E", "2")]
+    assert rows(spark.read.parquet(counts), "w1", "w2", "w3") == [("A", "B", w) for w in "CDE"]
+    assert "nr1" in spark.read.parquet(stats).columns
+
+
+@pytest.mark.parametrize("option", [["--rejects", "r"], ["--word", "[a-z]+"], ["--top", "0"]])
+def test_options_that_make_no_sense_are_errors(option, capsys):
+    with pytest.raises(SystemExit):
+        arguments(["in", "out", "--input-format", "documents", *option])
+
+
+def test_named_output_without_rows_is_empty(spark, frame, tmp_path):
+    write_named(tag_lines(frame([(0, "A B C\t1990\t3")])), str(tmp_path / "some"))
+    assert rows(read_named(spark, str(tmp_path / "some"), "rejected")) == []
+    assert rows(read_named(spark, str(tmp_path / "some"), "kept")) == [("A B C\t1990\t3",)]
+    write_named(tag_lines(frame([])), str(tmp_path / "none"))
+    assert rows(read_named(spark, str(tmp_path / "none"), "kept")) == []
+
+
+def test_fields_can_be_decimals(frame):
+    fields = StructType.fromDDL("k STRING, v DECIMAL(10,2)")
+    assert [str(v) for _, v in rows(parse_fields(frame([("a 1.50",)], "line STRING"), fields))] == ["1.50"]
 
 
 def test_stage_writes_below_the_folder(spark, frame, tmp_path, monkeypatch):

@@ -2,10 +2,10 @@
 
 import pytest
 from conftest import rows
-from pyspark.sql import Observation
 
+from wordloom.functions.ngrams import capture_groups
 from wordloom.operators.counts import corpus_total
-from wordloom.operators.parse import parse_lines, rejected_lines, split_corpus
+from wordloom.operators.parse import check_lines, parse_lines, rejected_lines, split_corpus
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_lines
 
 
@@ -75,10 +75,37 @@ def test_other_word_pattern(frame):
     assert rows(parse_lines(lines, word="[A-Za-z']+")) == [(0, "don't stop now", 3)]
 
 
-def test_counts_while_writing(golden):
-    seen = Observation("lines")
-    KnowledgeBase(counts_of_lines(golden, observation=seen)).counts
-    assert seen.get == {"kept": 7, "rejected": 3}
+@pytest.mark.parametrize(
+    "word, kept",
+    [
+        ("[A-Z]+|[0-9]+", [(0, "A 7 C", 3)]),
+        ("([A-Z])+|(?:([0-9])+)", [(0, "A 7 C", 3)]),
+        ("[^ ]+", [(0, "A 7 C", 3), (2, "don't\tstop me now", 4), (3, "é ( [", 5)]),
+        (r"\S+", [(0, "A 7 C", 3), (3, "é ( [", 5)]),
+        (r"[\](A-Z]+", []),
+    ],
+)
+def test_any_word_pattern(frame, word, kept):
+    lines = frame(
+        [
+            (0, "A 7 C\t1990\t3\t1\t1"),
+            (1, "HELLO this is junk"),
+            (2, "don't\tstop me now\t1990\t4"),
+            (3, "é ( [\t1990\t5"),
+            (4, None),
+            (5, "A B\t1990\t6"),
+        ]
+    )
+    assert rows(parse_lines(lines, word)) == kept
+    checked = rows(check_lines(lines, word), "ok", "line_id")
+    assert len(checked) == 6 and sum(ok for ok, _ in checked) == len(kept)
+    known = lines.where("line is not null")
+    assert rejected_lines(known, word).count() + len(kept) == known.count()
+
+
+def test_capture_groups_are_counted():
+    patterns = {"a": 0, "(a)": 1, "(?:a)": 0, r"\(a": 0, "[(]": 0, "(?<x>a)(?<=b)(?<!c)": 1, r"\Q(\E(b)": 1}
+    assert {p: capture_groups(p) for p in patterns} == patterns
 
 
 def test_empty_input(frame):

@@ -43,6 +43,25 @@ def test_table_moves_no_trigram(kb):
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
 
 
+def test_small_bounds_take_the_plans_for_large_tables(docs):
+    source = counts_of_documents(docs)
+    shuffled = KnowledgeBase(source, max_broadcast_rows=contract.FEW_BROADCAST_ROWS)
+    text = plan(shuffled.stats_rows)
+    assert "hashpartitioning" in text and shuffled.sizes[0] > contract.FEW_BROADCAST_ROWS
+    sliced = KnowledgeBase(source, min_slice_rows=contract.SMALL_SLICE)
+    assert "cuts" in sliced.ranked._jdf.queryExecution().analyzed().toString()
+    many = KnowledgeBase(source)
+    assert "WindowGroupLimit" not in plan(many.next_words(contract.MANY))
+    assert "WindowGroupLimit" in plan(many.next_words(contract.TOP_K))
+
+
+def test_lines_lose_no_trigram(spark):
+    lines = contract.queries()["kb_from_lines"](spark, SF)
+    table = contract.queries()["kb_sorted"](spark, SF)
+    assert lines.count() == table.count()
+    assert lines.exceptAll(table).isEmpty()
+
+
 def test_ranking_takes_one_shuffle(kb):
     text = plan(kb.ranked)
     assert len(re.findall(r"Exchange rangepartitioning\(w1#\d+ ASC NULLS FIRST, w2#\d+ ASC NULLS FIRST, ", text)) == 1

@@ -15,23 +15,57 @@ OCCURRENCES = r"\d+"
 def line_pattern(word: str = WORD) -> str:
     """Regular expression that a whole n-gram line has to match.
 
-    ``\\A`` and ``\\z`` are used because ``$`` would let a trailing line break pass.
+    Group 1 is the three words, the last group the count; ``word`` may be any expression that
+    matches no blank, without named groups and back references, since it stands there three
+    times. ``\\A`` and ``\\z`` are used because ``$`` would let a trailing line break
+    pass.
     """
-    return rf"\A{word} {word} {word}\t{YEAR}\t{OCCURRENCES}.*\z"
+    own = f"(?:{word})"
+    return rf"\A({own} {own} {own})\t{YEAR}\t({OCCURRENCES}).*\z"
+
+
+def capture_groups(pattern: str) -> int:
+    """Number of groups of a pattern that capture."""
+    groups, in_class, at = 0, False, 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            if pattern[at + 1 : at + 2] == "Q":  # quoted up to \E
+                end = pattern.find("\\E", at)
+                at = len(pattern) if end < 0 else end
+            at += 1
+        elif c == "[":
+            in_class = True
+        elif c == "]":
+            in_class = False
+        elif c == "(" and not in_class:
+            named = pattern.startswith("(?<", at) and pattern[at + 3 : at + 4] not in ("=", "!")
+            groups += named or pattern[at + 1 : at + 2] != "?"
+        at += 1
+    return groups
 
 
 def is_ngram_line(line: Column, word: str = WORD) -> Column:
     return F.coalesce(line.rlike(line_pattern(word)), F.lit(False))
 
 
-def line_trigram(line: Column) -> Column:
-    """The three words of a line that matched :func:`line_pattern`."""
-    return F.substring_index(line, "\t", 1)
+def line_fields(line: Column, word: str = WORD) -> Column:
+    """``count <tab> W1 W2 W3`` of a matching line, any other line as it is.
+
+    One match finds and takes out the fields. A line that matches is longer than its fields
+    (it has a year besides), so the two cases can be told apart by comparing with the line.
+    """
+    count = 2 + 3 * capture_groups(word)
+    return F.regexp_replace(line, F.lit(line_pattern(word)), F.lit(f"${count}\t$1"))
+
+
+def fields_trigram(fields: Column) -> Column:
+    return F.substr(fields, F.position(F.lit("\t"), fields) + 1)
 
 
-def line_occurrences(line: Column) -> Column:
-    """The count of a matching line; a count above BIGINT raises under ANSI mode."""
-    return F.regexp_extract(line, rf"\t{YEAR}\t({OCCURRENCES})", 1).cast("bigint")
+def fields_occurrences(fields: Column) -> Column:
+    """The count; one above BIGINT raises under ANSI mode."""
+    return F.substring_index(fields, "\t", 1).cast("bigint")
 
 
 def words(trigram: Column) -> list[Column]:

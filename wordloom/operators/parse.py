@@ -2,49 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import (
     WORD,
     corpus_part,
+    fields_occurrences,
+    fields_trigram,
     is_ngram_line,
-    line_occurrences,
-    line_trigram,
+    line_fields,
     words,
 )
 
 
-def parse_lines(
-    lines: DataFrame, word: str = WORD, observation: Observation | None = None
-) -> DataFrame:
-    """``line_id, trigram, occurrences`` of the lines that match as a whole.
+def check_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
+    """``ok, line_id, trigram, occurrences, line`` of every line.
 
-    An ``observation`` collects the counts of :func:`parse_report` while the lines pass by;
-    lines of tasks that had to be run again are counted again. The pattern is matched once
-    per line either way.
+    Lines that match as a whole have a trigram and a count and give up their text; the others
+    (a null line among them) keep it and have nothing else.
     """
-    checked = lines.select("line_id", "line", is_ngram_line(F.col("line"), word).alias("ok"))
-    if observation is not None:
-        checked = checked.observe(observation, *_report(F.col("ok")))
     line = F.col("line")
-    return checked.where("ok").select(
-        "line_id", line_trigram(line).alias("trigram"), line_occurrences(line).alias("occurrences")
+    checked = lines.select("line_id", "line", line_fields(line, word).alias("fields"))
+    ok = F.coalesce(F.col("fields") != line, F.lit(False))
+    return checked.select(
+        ok.alias("ok"),
+        "line_id",
+        F.when(ok, fields_trigram(F.col("fields"))).alias("trigram"),
+        F.when(ok, fields_occurrences(F.col("fields"))).alias("occurrences"),
+        F.when(~ok, line).alias("line"),
     )
 
 
+def parse_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
+    """``line_id, trigram, occurrences`` of the lines that match as a whole."""
+    return check_lines(lines, word).where("ok").select("line_id", "trigram", "occurrences")
+
+
 def rejected_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
     return lines.where(~is_ngram_line(F.col("line"), word))
 
 
 def parse_report(lines: DataFrame, word: str = WORD) -> DataFrame:
     """One row ``kept, rejected``, from one scan."""
-    return lines.agg(*_report(is_ngram_line(F.col("line"), word)))
-
-
-def _report(ok: Column) -> list[Column]:
-    kept = F.count_if(ok)
-    return [kept.alias("kept"), (F.count("*") - kept).alias("rejected")]
+    kept = F.count_if(is_ngram_line(F.col("line"), word))
+    return lines.agg(kept.alias("kept"), (F.count("*") - kept).alias("rejected"))
 
 
 def split_corpus(occurrences: DataFrame) -> DataFrame:

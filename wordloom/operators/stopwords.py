@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
+    """``word``: the words of text files, upper-cased, each once, one or more to a line."""
+    fields = F.explode(F.split(F.upper("value"), r"\s+"))
+    return spark.read.text(path).select(fields.alias("word")).where("word <> ''").distinct()
 
 
 def without_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
     """``counts`` without trigrams of which any word is in ``stop_words(word)``.
 
     Pass the list through :func:`wordloom.plans.staging.broadcast_if_small` to keep the
-    trigrams from being shuffled; without a hint Spark chooses the join.
+    trigrams from being shuffled; without a hint Spark chooses the join. A list too long to be
+    broadcast (a million words) makes three shuffled joins on single words, where only
+    adaptive execution splits a word as frequent as "THE".
     """
     for w in ("w1", "w2", "w3"):
         counts = counts.join(stop_words, counts[w] == stop_words["word"], "left_anti")

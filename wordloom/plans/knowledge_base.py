@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import WORD
@@ -25,7 +25,7 @@ from wordloom.operators.ranking import (
     slice_cuts,
     sort_table,
 )
-from wordloom.plans.staging import MAX_BROADCAST_ROWS, stage
+from wordloom.plans.staging import MAX_BROADCAST_ROWS, free, new_path, stage
 from wordloom.sources.documents import document_occurrences
 
 # A pair with fewer than two slices of rows is numbered in one task.
@@ -36,11 +36,9 @@ MAX_SLICES = 32_768
 POINTS_PER_SLICE = 64
 
 
-def counts_of_lines(
-    lines: DataFrame, word: str = WORD, observation: Observation | None = None
-) -> DataFrame:
+def counts_of_lines(lines: DataFrame, word: str = WORD) -> DataFrame:
     """``w1, w2, w3, r1, r2`` from n-gram lines; lazy."""
-    return count_trigrams(split_corpus(parse_lines(lines, word, observation)))
+    return count_trigrams(split_corpus(parse_lines(lines, word)))
 
 
 def counts_of_documents(docs: DataFrame) -> DataFrame:
@@ -54,7 +52,9 @@ class KnowledgeBase:
 
     The counts are the only large intermediate result and are read several times, so they
     are staged; so are the statistics, which are small as a rule but have their rows
-    counted before anything is broadcast.
+    counted before anything is broadcast. :meth:`build` writes both; whatever needs them
+    calls it, so asking for a table of this class counts the corpus once, before anything
+    is shown of it. :meth:`free` deletes what was written, once the results are written too.
     """
 
     source: DataFrame
@@ -62,18 +62,30 @@ class KnowledgeBase:
     min_slice_rows: int = MIN_SLICE_ROWS
     max_slices: int = MAX_SLICES
 
+    @cached_property
+    def folder(self) -> str:
+        return new_path(self.source.sparkSession, "knowledge_base")
+
     @cached_property
     def counts(self) -> DataFrame:
-        return stage(self.source, "trigram_counts")
+        return stage(self.source, "trigram_counts", below=self.folder)
 
     @cached_property
     def cells(self) -> DataFrame:
-        """``r1, r2, trigrams``; stored only for the shuffled lookup."""
-        return stage(frequency_cells(self.counts), "frequency_cells")
+        """``r1, r2, trigrams``: what the statistics are made of, and the shuffled lookup."""
+        return stage(frequency_cells(self.counts), "frequency_cells", below=self.folder)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return stage(frequency_stats_wide(frequency_cells(self.counts)), "nr_tr")
+        return stage(frequency_stats_wide(self.cells), "nr_tr", below=self.folder)
+
+    def build(self) -> KnowledgeBase:
+        """Count the corpus and write counts and statistics, unless that is done."""
+        self.sizes  # reads the statistics, which need the counts
+        return self
+
+    def free(self) -> None:
+        free(self.source.sparkSession, self.folder)
 
     @cached_property
     def sizes(self) -> tuple[int, int]:
@@ -111,6 +123,10 @@ class KnowledgeBase:
         """``w1, w2, w3, p``, unordered."""
         return probability(self.with_stats, self.total)
 
+    @cached_property
+    def staged_table(self) -> DataFrame:
+        return stage(self.table, "table", below=self.folder)
+
     @property
     def table_from_rows(self) -> DataFrame:
         """``w1, w2, w3, p`` by way of :attr:`stats_rows`."""
@@ -128,10 +144,18 @@ class KnowledgeBase:
         tasks number independently. The number of cuts is checked before they are
         broadcast; should there be too many, the slices are made larger.
         """
-        table, trigrams = self.table, self.sizes[1]
+        rows, trigrams = self.sizes
         slice_rows = max(self.min_slice_rows, -(-trigrams // self.max_slices))
+        # Cuts, slice totals and the result read the table: it is written if they do, or if
+        # it takes a shuffled join.
+        several = trigrams >= 2 * slice_rows or rows > self.max_broadcast_rows
+        table = self.staged_table if several else self.table
         while trigrams >= 2 * slice_rows:
-            cuts = stage(slice_cuts(table, slice_rows, POINTS_PER_SLICE), "slice_cuts")
+            cuts = stage(
+                slice_cuts(table, slice_rows, POINTS_PER_SLICE),
+                f"slice_cuts_{slice_rows}",
+                below=self.folder,
+            )
             size = F.size("cuts")
             total, longest = cuts.agg(F.sum(size), F.max(size)).first()
             if total is None:
@@ -142,7 +166,7 @@ class KnowledgeBase:
         return number_rows(table)
 
     def next_words(self, k: int) -> DataFrame:
-        """The ``k`` most probable third words of every pair.
+        """The ``k`` most probable third words of every pair, in no particular order.
 
         Spark limits pairs before the shuffle only up to a threshold of its own; for more
         followers than that, the sliced numbering keeps large pairs out of one task.

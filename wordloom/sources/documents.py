@@ -42,13 +42,13 @@ def document_occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
-def document_lines(docs: DataFrame) -> DataFrame:
-    """``line_id, line``: one n-gram line per document and trigram.
+def document_lines(docs: DataFrame, spelled_every: int | None = None) -> DataFrame:
+    """``line_id, line``: one n-gram line in upper case per document and trigram.
 
-    Every tenth document keeps its spelling, so that lines in lower and mixed case, which
-    the line pattern rejects, occur as well.
+    With ``spelled_every`` n, documents whose id is divisible by n keep their spelling, so
+    that there are lines in lower and mixed case too, which the line pattern rejects.
     """
-    spelled = F.col("doc_id") % 10 == 0
+    spelled = None if spelled_every is None else F.col("doc_id") % spelled_every == 0
     per_document = (
         docs.select(
             "doc_id", F.explode(text_trigrams(F.col("text"), keep_case=spelled)).alias("trigram")
