@@ -1,0 +1,94 @@
+"""Every stage of the pipeline against a plain version of it on the stage's own input."""
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from wordloom.llm import stages
+from wordloom.llm.decontamination import contaminated
+from wordloom.llm.simhash import fingerprint
+from wordloom.llm.toxicity import REJECT, train
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, tmp_path_factory):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = [docs]
+    for name, function in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        function(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
+        found.append(docs)
+    return [df.toPandas() for df in found]
+
+
+def test_stages_and_columns(outputs):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "simhash_near_dedup", "suffix_array_dedup", "benchmark_decontamination", "packing"
+    ]
+    assert all(list(df.columns) == COLUMNS for df in outputs[:-1])
+    assert 0 < len(outputs[4]) < len(outputs[0])
+
+
+def test_toxic_documents_go(spark, outputs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    x = np.array([model.evidence(t.encode()) for t in outputs[0].text])
+    kept = outputs[0].doc_id[model.grades(x)[:, 0] < REJECT]
+    assert sorted(kept) == sorted(outputs[1].doc_id)
+
+
+def test_one_document_of_each_group_stays(outputs):
+    before = outputs[1].sort_values("doc_id")
+    fps = np.array([fingerprint(t.encode(), 3) for t in before.text], np.uint64)
+    group = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[i] ^ fps[:i]) <= stages.NEAR_BITS):
+            old, new = max(group[i], group[j]), min(group[i], group[j])
+            group = [new if g == old else g for g in group]
+    first = [d for i, d in enumerate(before.doc_id) if group[i] == i]
+    assert sorted(outputs[2].doc_id) == first
+    assert before.text.nunique() < len(before)
+
+
+def test_repeated_passages_go(outputs):
+    before, after = outputs[2].sort_values("doc_id"), outputs[3].set_index("doc_id")
+    seen, removed = set(), 0
+    for doc_id, text in zip(before.doc_id, before.text):
+        data = text.encode()
+        own = [data[i : i + 50] for i in range(len(data) - 49)]
+        gone = np.zeros(len(data), bool)
+        for i, w in enumerate(own):
+            if w in seen:
+                gone[i : i + 50] = True
+        seen.update(own)
+        kept = bytes(b for b, g in zip(data, gone) if not g).decode(errors="ignore")
+        assert after.text[doc_id] == kept and after.n_chars[doc_id] == len(kept)
+        removed += gone.sum()
+    assert removed and len(after) == len(before)
+
+
+def test_contaminated_documents_go(spark, outputs):
+    frame = spark.createDataFrame(outputs[3])
+    leaks = contaminated(frame, spark.read.parquet(f"{SF}/benchmark.parquet"))
+    gone = {r.doc_id for r in leaks.collect()}
+    assert set(outputs[4].doc_id) == set(outputs[3].doc_id) - gone
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas().text
+    assert not [t for t in outputs[4].text if any(i in t for i in items)]
+
+
+def test_what_is_left_is_packed_whole(outputs):
+    docs, pieces = outputs[4], outputs[5]
+    assert set(pieces.doc_id) == set(docs.doc_id)
+    assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
+
+
+def test_run_gives_the_last_stage(spark, outputs):
+    rows = corpus_pipeline.run(spark, SF).toPandas()
+    order = ["doc_id", "start"]
+    assert rows.sort_values(order).reset_index(drop=True).equals(
+        outputs[-1].sort_values(order).reset_index(drop=True)
+    )
