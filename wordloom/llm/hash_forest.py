@@ -111,7 +111,7 @@ def nearest(
     is_query: Column,
     k: int = 5,
     trees: int = 32,
-    share: float = 0.6,
+    share: float = 0.9,
     seed: int = 20,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found to each query row."""
