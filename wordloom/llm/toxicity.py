@@ -68,7 +68,7 @@ class OrdinalModel:
     def grades(self, x: np.ndarray) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, … per value of w . x."""
         z = np.clip(x[:, None] - self.thresholds[None, :], -40, 40)
-        return 1 / (1 + np.exp(-z))
+        return np.where(np.isinf(self.thresholds), 0.0, 1 / (1 + np.exp(-z)))
 
     def evidence(self, data: bytes) -> float:
         begins, weights = self.begins, self.weights
@@ -117,7 +117,11 @@ def fit_ordinal(
 
 
 def leaning_features(sample: DataFrame) -> dict[bytes, float]:
-    """The features that lean to one label most clearly, and the log odds of each."""
+    """The features that lean to one label most clearly, and the log odds of each.
+
+    How clearly is the root of the likelihood ratio between a feature's share of each label's
+    documents and one share for both.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
@@ -139,9 +143,18 @@ def leaning_features(sample: DataFrame) -> dict[bytes, float]:
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(a / F.lit(sizes[1] + 0.5)) - F.log(b / F.lit(sizes[0] + 0.5))
-    z = odds / F.sqrt(1 / a + 1 / b)
-    leaning = counts.where(F.col("toxic") + F.col("clean") >= RARE)
-    leaning = leaning.select("feature", odds.alias("odds"), F.abs(z).alias("z"))
+    n = sizes[0] + sizes[1]
+    seen = F.col("toxic") + F.col("clean")
+
+    def gain(found, documents):
+        """Of one label, the log likelihood won by its own share over the common one."""
+        def part(x, expected):
+            return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+
+        return part(found, seen * (documents / n)) + part(documents - found, (n - seen) * (documents / n))
+
+    z = F.sqrt(2 * F.greatest(gain(F.col("toxic"), sizes[1]) + gain(F.col("clean"), sizes[0]), F.lit(0.0)))
+    leaning = counts.where(seen >= RARE).select("feature", odds.alias("odds"), z.alias("z"))
     rows = leaning.where(F.col("z") >= LEANING).orderBy(F.desc("z"), "feature").limit(FEATURES).collect()
     return {bytes(r["feature"]): r["odds"] for r in rows}
 
