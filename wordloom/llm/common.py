@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.plans.staging import stage
 
-__all__ = ["documents", "fold", "partitions", "prepare", "stage", "table", "text_bytes"]
+__all__ = ["documents", "fold", "give_back", "partitions", "prepare", "stage", "table", "text_bytes"]
 
 
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
@@ -36,16 +38,27 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task.
+
+    Python workers outlive their tasks, and those of other operators run beside them.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def prepare(spark: SparkSession) -> None:
     """What every operator asks of its session; harmless to repeat.
 
     Spark is to delete a query's shuffle files when the query ends: operators of several steps
     write each step to the shared folder, so no later step reads an earlier one's files, and
-    without this they stay until the driver's JVM happens to collect its garbage. Python
+    without this they stay until the driver's JVM happens to collect its garbage. Rows go to
+    Python in batches small enough for long texts. Python
     workers look for this package where the driver found it (on a cluster without that path,
     ``--py-files`` brings it).
     """
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     root = str(Path(__file__).resolve().parents[2])
     if root not in paths:

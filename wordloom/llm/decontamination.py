@@ -19,7 +19,7 @@ worth on either side) and the item's words covers ``COMMON`` of the item, or, as
 sentence of at least ``ANSWER`` words.
 
 Words are runs of letters and digits, lower-cased. Texts are tokenized once; later passes read
-word hashes. The benchmark is searched for in slices of ``ITEMS_AT_ONCE`` items, which bounds
+word hashes. The benchmark is searched for in slices of some ``ITEMS_AT_ONCE`` items, which bounds
 what is broadcast, and every slice meets all passages.
 
 Defined results: null or empty texts and items without words match nothing; repeated rows of
@@ -39,18 +39,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import documents, prepare, stage, text_bytes
+from wordloom.llm.common import documents, give_back, prepare, stage, text_bytes
 
 PASSAGE = 32
 FEATURES = 1 << 13
 RANK, EXTRA = 64, 16
-COSINE = 0.4
-COMMON, PARAPHRASED, ANSWER = 0.6, 0.45, 3
+COSINE = 0.36
+COMMON, PARAPHRASED, ANSWER = 0.6, 0.5, 3
 ITEMS_AT_ONCE = 20_000
-WORDS_AT_ONCE = 1 << 17
-SUM_ROWS = 32
+WORDS_AT_ONCE = 1 << 16
+# A candidate pair of passages with one more on either side.
+AROUND = (-1, 0, 1, 2)
 ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
-HITS = "doc_id long, item long, cosine double, common double, answer boolean"
+HITS = "doc_id long, item_id long, cosine double, common double, answer boolean"
 
 
 def word_hashes(data: bytes) -> np.ndarray:
@@ -67,6 +68,7 @@ def hashed_words(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(words, pa.binary())], ["doc_id", "words"]
             )
+        give_back()
 
     columns = documents(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), text_bytes().alias("data")
@@ -225,16 +227,19 @@ def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: i
 
 @dataclass
 class Items:
-    """Benchmark items: their words, answers and vectors."""
+    """Benchmark items: their ids, words, answers and vectors."""
 
+    ids: list[int | None]
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vectors: np.ndarray
     bounds: np.ndarray
+    features: np.ndarray  # of each item's words, filled up with a feature that is never there
+    sizes: np.ndarray
     masks: list[dict[int, int]]
 
 
-def describe_items(texts: list[str], space: LatentSpace) -> Items:
+def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace) -> Items:
     words, answers, vectors = [], [], []
     for text in texts:
         own = word_hashes(text.encode())
@@ -251,7 +256,28 @@ def describe_items(texts: list[str], space: LatentSpace) -> Items:
         masks.append(mask)
     filled = np.array([min(1, len(own) / PASSAGE) for own in words])
     bounds = np.where(filled > 0, COSINE * np.sqrt(filled), 2)
-    return Items(words, answers, unit_rows(np.array(vectors).reshape(len(texts), -1)), bounds, masks)
+    sizes = np.array([len(own) for own in words], np.int64)
+    features = np.full((len(words), max(1, sizes.max(initial=0))), FEATURES)
+    for row, own in zip(features, words):
+        row[: len(own)] = own % FEATURES
+    vectors = unit_rows(np.array(vectors).reshape(len(texts), -1))
+    return Items(ids, words, answers, vectors, bounds, features, sizes, masks)
+
+
+def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which candidates hold enough of the item's words, in whatever order, to be a leak.
+
+    No common subsequence is longer than the number of the item's words that occur at all.
+    """
+    present = np.zeros((len(lot.words) + 1, FEATURES + 1), bool)
+    row, at = np.nonzero(lot.used)
+    present[row, lot.features[row, at]] = True
+    held = np.zeros((len(passage), items.features.shape[1]), bool)
+    for step in AROUND:
+        near = np.clip(passage + step, 0, len(lot.words) - 1)
+        near = np.where(lot.owner[near] == lot.owner[passage], near, len(lot.words))
+        held |= present[near[:, None], items.features[item]]
+    return held.sum(axis=1) >= PARAPHRASED * items.sizes[item]
 
 
 def common_length(mask: dict[int, int], size: int, words: list[int]) -> int:
@@ -271,8 +297,8 @@ def holds(words: list[int], answer: list[int]) -> bool:
     )
 
 
-def leaks(words: DataFrame, space: LatentSpace, items: Items, first_item: int) -> DataFrame:
-    """One row per document and item that leaked into it; see :data:`HITS`."""
+def leaks(words: DataFrame, space: LatentSpace, items: Items) -> DataFrame:
+    """One row per row of ``words`` and item that leaked into it; see :data:`HITS`."""
     shared = words.sparkSession.sparkContext.broadcast((space, items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,12 +312,12 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items, first_item: int) -
                 same = lot.owner[1:] == lot.owner[:-1]
                 pairs[:-1][same] += sums[1:][same]
                 cosine = np.maximum(unit_rows(sums) @ items.vectors.T, unit_rows(pairs) @ items.vectors.T)
-                for p, k in zip(*(x.tolist() for x in np.nonzero(cosine >= items.bounds))):
-                    lo = p - (p > 0 and lot.owner[p - 1] == lot.owner[p])
-                    hi = p + 1
-                    while hi < len(lot.owner) and hi < p + 3 and lot.owner[hi] == lot.owner[p]:
-                        hi += 1
-                    around = lot.words[lo:hi].ravel().tolist()
+                passage, item = np.nonzero(cosine >= items.bounds)
+                use = likely(lot, items, passage, item)
+                for p, k in zip(passage[use].tolist(), item[use].tolist()):
+                    rows = [q for q in range(p + AROUND[0], p + AROUND[-1] + 1) if 0 <= q < len(lot.owner)]
+                    rows = [q for q in rows if lot.owner[q] == lot.owner[p]]
+                    around = lot.words[rows].ravel().tolist()
                     size = len(items.words[k])
                     common = common_length(items.masks[k], size, around) / size
                     if common < PARAPHRASED:
@@ -300,11 +326,12 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items, first_item: int) -
                     if common >= COMMON or answer:
                         key, found = (int(lot.owner[p]), k), (common, answer, float(cosine[p, k]))
                         best[key] = max(best.get(key, found), found)
-            rows = [(ids[d], first_item + k, c, common, a) for (d, k), (common, a, c) in best.items()]
+            rows = [(ids[d], items.ids[k], c, common, a) for (d, k), (common, a, c) in best.items()]
             columns = list(zip(*rows)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
-            names = ["doc_id", "item", "cosine", "common", "answer"]
+            names = ["doc_id", "item_id", "cosine", "common", "answer"]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+        give_back()
 
     return words.mapInArrow(run, HITS)
 
@@ -314,19 +341,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     words = stage(hashed_words(docs), "hashed_words")
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null").distinct()
-    items = stage(items.orderBy("item_id", "text").select("item_id", "text"), "items")
-    numbered = stage(items.coalesce(1).withColumn("item", F.monotonically_increasing_id()), "numbered")
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text <> ''").distinct()
+    items = stage(items, "items")
     space = latent_space(words) if not words.isEmpty() else None
-    found = None
-    for lo in range(0, numbered.count() if space else 0, ITEMS_AT_ONCE):
-        inside = (F.col("item") >= lo) & (F.col("item") < lo + ITEMS_AT_ONCE)
-        rows = numbered.where(inside).orderBy("item").collect()
-        own = leaks(words, space, describe_items([r["text"] for r in rows], space), lo)
-        found = own if found is None else found.unionByName(own)
-    if found is None:
-        found = spark.createDataFrame([], HITS)
-    best = found.join(numbered.select("item", "item_id"), "item").groupBy("doc_id", "item_id")
+    slices = -(-items.count() // ITEMS_AT_ONCE) if space else 0
+    found = spark.createDataFrame([], HITS)
+    for nth in range(slices):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == nth)
+        rows = own.orderBy("item_id", "text").collect()
+        described = describe_items([r["item_id"] for r in rows], [r["text"] for r in rows], space)
+        found = found.unionByName(leaks(words, space, described))
+    best = found.groupBy("doc_id", "item_id")
     strongest = F.max(F.struct("common", "answer", "cosine"))
     return best.agg(strongest.alias("s")).select("doc_id", "item_id", "s.cosine", "s.common", "s.answer")
 
