@@ -30,7 +30,7 @@ from wordloom.llm.samples import labelled_sample
 
 PER_CLASS = 2000
 STRETCH = 64
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 
 
 def _table(members: str) -> np.ndarray:

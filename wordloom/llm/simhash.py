@@ -28,11 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import documents, prepare, stage, text_bytes
+from wordloom.llm.common import documents, give_back, prepare, stage, text_bytes
 from wordloom.llm.components import connected_components
 
 SEED = 42
-SHINGLES_AT_ONCE = 100_000
+SHINGLES_AT_ONCE = 50_000
 
 
 def fingerprint(data: bytes, words: int) -> int:
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"]
             )
+        give_back()
 
     columns = documents(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), text_bytes().alias("data")

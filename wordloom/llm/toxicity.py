@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import documents, prepare, text_bytes
+from wordloom.llm.common import documents, give_back, prepare, text_bytes
 from wordloom.llm.samples import labelled_sample
 
 PER_CLASS = 3000
@@ -209,6 +209,7 @@ def severity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
                 ],
                 ["doc_id", "severity", "p_toxic", "grade"],
             )
+        give_back()
 
     columns = documents(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), text_bytes().alias("data")
