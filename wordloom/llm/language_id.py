@@ -31,6 +31,7 @@ HIDDEN = 8
 STEPS = 64
 BATCH = 256
 ROUNDS = 300
+DRAWN_IN = 16
 AT_ONCE = 4096
 LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
 UNKNOWN = "und"
@@ -177,9 +178,11 @@ def sample_of(docs: DataFrame, per_language: int, folds: int = 5, left_out: int
     """``lang, data`` of at most ``per_language`` documents of each language."""
     known = docs.select("doc_id", F.col("lang").cast("string").alias("lang"))
     known = known.where(F.col("lang").isNotNull() & (fold(folds) != left_out)).distinct()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
-    drawn = stage(drawn.select("doc_id", "lang"), "drawn_lang")
+    known = known.withColumn("part", F.pmod(F.xxhash64("doc_id", "lang"), F.lit(DRAWN_IN)))
+    for group in (["lang", "part"], ["lang"]):  # the first of each part hold the first of all
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        known = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language)
+    drawn = stage(known.select("doc_id", "lang"), "drawn_lang")
     texts = docs.select("doc_id", text_bytes().alias("data")).where(F.octet_length("data") > 0)
     return texts.join(F.broadcast(drawn), "doc_id")
 
