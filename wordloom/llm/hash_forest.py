@@ -162,15 +162,11 @@ def nearest(
             if not batch.num_rows:
                 continue
             ids, x = batch.column(0).to_numpy(), unit(batch.column(1))
-            keys, own, vectors = [], [], []
             for tree, cell in enumerate(forest.cells(x).T):
                 block, copies = _spread(ids, blocks[tree, cell]), query_blocks[tree, cell]
                 at = np.repeat(np.arange(len(ids)), copies)
                 nth = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
-                keys.append(block_key(tree, cell[at], block[at], nth))
-                own.append(ids[at])
-                vectors.append(x[at])
-            yield _rows(keys, own, vectors)
+                yield _rows([block_key(tree, cell[at], block[at], nth)], [ids[at]], [x[at]])
 
     def deal_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
