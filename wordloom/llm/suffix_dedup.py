@@ -31,6 +31,7 @@ rows; all columns are kept, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -40,16 +41,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import partitions, prepare, stage, text_bytes
+from wordloom.llm.common import give_back, partitions, prepare, stage, text_bytes
 from wordloom.plans.staging import new_path
 
 LENGTH = 50
 GRAM = 16
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 LONGEST_RUN = 4096
 HOT = 100_000
 NO_ID = np.iinfo(np.int64).max
-WINDOWS_AT_ONCE = 400_000
+WINDOWS_AT_ONCE = 150_000
+_PAIR = np.dtype([("h", "<u8"), ("d", "<i8")])  # a minimizer and a document
 
 
 def sliding(values: np.ndarray, least: np.ufunc, width: int) -> np.ndarray:
@@ -222,15 +224,13 @@ def minimizer_counts(rows: DataFrame, length: int, parts: int) -> DataFrame:
                 seen += len(own)
         if current is not None:
             yield from send(current, found)
+        give_back()
 
     return rows.select("chunk", "data").mapInArrow(
         run, "part int, chunk long, hashes binary, docs binary"
     )
 
 
-_PAIR = np.dtype([("h", "<u8"), ("d", "<i8")])
-
-
 def repeated_minimizers(counts: DataFrame, hot: int) -> DataFrame:
     """``chunk, hashes, hot``: per chunk those that two or more documents have."""
 
@@ -303,8 +303,10 @@ def sendings(rows: DataFrame, notes: DataFrame, length: int) -> DataFrame:
         for d, a, b in zip(*stretches(*own)):
             ship(int(row[d]), d, a, b"")
             out[4][-1], out[5][-1] = b, None
+        sent.clear()
+        give_back()
         keys = np.array(out[0], np.uint64).view(np.int64)
-        chunk = np.full(len(keys), key[0].as_py() if hasattr(key[0], "as_py") else key[0])
+        chunk = np.full(len(keys), key[0].as_py(), np.int64)
         arrays = [keys, chunk, *(np.array(c, np.int64) for c in out[1:5])]
         return pa.table(
             [*map(pa.array, arrays), pa.array(out[5], pa.binary())],
@@ -320,7 +322,7 @@ def sendings(rows: DataFrame, notes: DataFrame, length: int) -> DataFrame:
 
 
 def hash_of(window: bytes) -> int:
-    return uuid.uuid5(uuid.NAMESPACE_OID, window.hex()).int & (2**64 - 1)
+    return int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big")
 
 
 def stretches(docs: list, begins: list, ends: list):
@@ -339,6 +341,36 @@ def stretches(docs: list, begins: list, ends: list):
     )
 
 
+def lot_covered(own: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches (row of ``own``, start, end) that are covered.
+
+    Rows with the same content as one of a smaller id are covered whole. What is left to sort
+    is each content once, and only where a key has different ones.
+    """
+    contents = own.column("content").combine_chunks().dictionary_encode()
+    which, doc = contents.indices.to_numpy(), own.column("doc").to_numpy()
+    least = np.full(len(contents.dictionary), NO_ID)
+    np.minimum.at(least, which, doc)
+    copies = np.flatnonzero(doc > least[which])
+    sizes = (own.column("stop").to_numpy() - own.column("start").to_numpy())[copies]
+    found = [(copies, np.zeros(len(copies), np.int64), sizes)]
+    first = np.flatnonzero(doc == least[which])
+    first = first[np.argsort(which[first], kind="stable")]
+    kinds, at = np.unique(which[first], return_index=True)
+    _, key, times = np.unique(
+        own.column("key").to_numpy()[first[at]], return_inverse=True, return_counts=True
+    )
+    several = kinds[times[key] > 1]
+    if len(several):
+        texts = contents.dictionary.take(pa.array(several)).to_pylist()
+        content, lo, hi = covered(texts, least[several], length)
+        begin = np.searchsorted(which[first], several[content])
+        many = np.searchsorted(which[first], several[content], "right") - begin
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        found.append((first[np.repeat(begin, many) + nth], np.repeat(lo, many), np.repeat(hi, many)))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def sort_windows(sent: DataFrame, length: int) -> DataFrame:
     """``chunk, row, start, stop``: all covered stretches. Equal keys have to be together."""
 
@@ -361,14 +393,14 @@ def sort_windows(sent: DataFrame, length: int) -> DataFrame:
         lot = (key >> np.uint64(7)) % np.uint64(lots)
         for i in range(lots):
             own = table.filter(pa.array(lot == i))
-            if not own.num_rows:
-                continue
-            which, lo, hi = covered(own.column("content").to_pylist(), own.column("doc").to_numpy(), length)
-            base = own.column("start").to_numpy()[which]
-            columns = [own.column(c).to_numpy()[which] for c in ("chunk", "row")]
-            yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(base + lo), pa.array(base + hi)], names
-            )
+            if own.num_rows:
+                row, lo, hi = lot_covered(own, length)
+                base = own.column("start").to_numpy()[row]
+                columns = [own.column(c).to_numpy()[row] for c in ("chunk", "row")]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns), pa.array(base + lo), pa.array(base + hi)], names
+                )
+        give_back()
 
     return sent.mapInArrow(run, "chunk long, row long, start long, stop long")
 
