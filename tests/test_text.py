@@ -59,7 +59,7 @@ def test_long_text_and_long_words(frame):
 
 def test_lines_are_counted_per_document(frame):
     docs = frame([(1, "a b c a b c"), (2, "A b c"), (10, "A B C a b c")], DOCS)
-    assert rows(document_lines(docs)) == sorted(
+    assert rows(document_lines(docs, spelled_every=10)) == sorted(
         [
             (1, "A B C\t2000\t2\t1\t1"),
             (1, "B C A\t2000\t1\t1\t1"),
@@ -78,7 +78,7 @@ def test_lines_parse_back(frame):
     docs = frame([(1, "a b c a b c d"), (10, "A B C d")], DOCS)
     parsed = rows(split_words(parse_lines(document_lines(docs))))
     assert (1, "A", "B", "C", 2) in parsed and (10, "A", "B", "C", 1) in parsed
-    assert len(parsed) == 5
+    assert len(parsed) == 6
 
 
 def test_small_tables_are_spread_over_the_cores(spark):
