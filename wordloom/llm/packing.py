@@ -9,8 +9,9 @@ segment tree indexed by remaining capacity finds the tightest one that is not em
 placing many pieces of one length into a range of windows is one entry of the plan: "pieces
 lo..hi of this length go into the windows from first on, so many per window, at this offset".
 That is the same result as placing the pieces one by one. A piece finds its entry by its rank
-among the pieces of its length; ranks come from counts per (length, hash group), so a length
-that a third of all pieces share is numbered in many tasks.
+among the pieces of its length; ranks come from counts per (length, hash group), and a length
+has a group for every ``GROUP_ROWS`` pieces, so one that a third of all pieces share is numbered
+in many tasks, and the counts are few beside the pieces.
 
 Token ids are taken per white-space chunk, since this tokenizer never joins text across white
 space; ids of chunks and words are remembered in caches of bounded size.
@@ -34,13 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wordloom.llm.common import documents, prepare, stage, text_bytes
+from wordloom.llm.common import documents, give_back, prepare, stage, text_bytes
 from wordloom.llm.token_counts import byte_letters
 
 CAPACITY = 2048
 END_ID = 1
-HASH_GROUPS = 256
-CHUNK_CACHE, WORD_CACHE, LONG_CHUNK = 400_000, 300_000, 64
+GROUP_ROWS = 50_000
+CHUNK_CACHE, WORD_CACHE, LONG_CHUNK = 300_000, 200_000, 64
 # Fixed value: the pre-token pattern of this tokenizer family.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Below this character a text is its own composed form and lower-casing is per character.
@@ -69,6 +70,10 @@ class _Words(dict):
 class _Chunks(dict):
     """Ids of a chunk of UTF-8 without white space, in the same form."""
 
+    def forget(self) -> None:
+        self.clear()
+        self.words.clear()
+
     def __init__(self, file: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(file)
@@ -98,7 +103,12 @@ class _Chunks(dict):
 def encoder(file: str) -> Callable[[bytes], bytes]:
     """Function from UTF-8 to token ids, as little-endian unsigned 32-bit bytes."""
     chunks = _Chunks(file)
-    return lambda data: b"".join(map(chunks.__getitem__, data.split()))
+
+    def encode(data: bytes) -> bytes:
+        return b"".join(map(chunks.__getitem__, data.split()))
+
+    encode.forget = chunks.forget
+    return encode
 
 
 def cut_documents(
@@ -124,6 +134,8 @@ def cut_documents(
                 [pa.array(list(c), pa.int64()) for c in columns],
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+        encode.forget()
+        give_back()
 
     columns = documents(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), text_bytes().alias("data")
@@ -205,9 +217,13 @@ def best_fit_plan(
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` (from 0, none empty) and ``offset`` (gapless)."""
     spark = pieces.sparkSession
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(HASH_GROUPS)).cast("int")
-    pieces = stage(pieces.withColumn("hash_group", group), "pieces")
-    # At most capacity * HASH_GROUPS rows, whatever the corpus.
+    pieces = stage(pieces, "pieces")
+    # One row per length here, and per GROUP_ROWS pieces below.
+    of_length = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    groups = [1 + of_length.get(length, 0) // GROUP_ROWS for length in range(capacity + 1)]
+    own_groups = F.element_at(F.array(*map(F.lit, groups)), F.col("length").cast("int") + 1)
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), own_groups).cast("int")
+    pieces = pieces.withColumn("hash_group", group)
     sizes = pieces.groupBy("length", "hash_group").agg(F.count("*").alias("n"))
     histogram, offsets = {}, []
     for row in sorted(sizes.collect()):
