@@ -1,0 +1,81 @@
+"""The near-duplicate stage against brute-force five-word similarity."""
+
+import random
+
+import pytest
+
+from wordloom.llm import similarity, stages
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def least_ids(rows):
+    """The least id of each row's component, by comparing all pairs."""
+    sets = [shingles(text) for _, text in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    ids = {}
+    for (doc_id, _), g in zip(rows, group):
+        ids.setdefault(g, []).append(doc_id)
+    return [min((i for i in ids[g] if i is not None), default=None) for g in group]
+
+
+def check(docs, rows):
+    found = similarity.similar_documents(docs, stages.NEAR_BITS).collect()
+    expected = sorted(((d, c) for (d, _), c in zip(rows, least_ids(rows))), key=repr)
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=repr) == expected
+
+
+def copies(rng, words, text, times, most):
+    out = []
+    for _ in range(times):
+        own = list(text)
+        for _ in range(rng.randrange(most + 1)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        out.append(own)
+    return out
+
+
+def test_nasty_documents(nasty):
+    check(nasty, [(r.doc_id, r.text) for r in nasty.collect()])
+
+
+@pytest.mark.parametrize("often, short", [(10, 16), (10**6, 2)])
+def test_every_pair_of_similar_texts_is_linked(documents, monkeypatch, often, short):
+    monkeypatch.setattr(similarity, "OFTEN", often)
+    monkeypatch.setattr(similarity, "SHORT", short)
+    rng = random.Random(often + short)
+    words = [f"w{i}" for i in range(400)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    texts = []
+    for _ in range(12):
+        base = say(rng.randrange(30, 250))
+        texts += copies(rng, words, base, 5, max(1, len(base) // 40))
+    texts += copies(rng, words, say(120), 40, 3)  # a family of edited copies
+    passage = say(60)  # and a passage that unlike texts share
+    texts += [say(40) + passage + say(20) for _ in range(25)]
+    texts += [say(n) for n in range(8)] + [[], []]
+    rng.shuffle(texts)
+    rows = [(1000 - i, " ".join(t)) for i, t in enumerate(texts)]
+    check(documents(rows), rows)
+    assert 20 < len(set(least_ids(rows))) < len(rows) - 40
+
+
+def test_copies_of_unlike_fingerprints_go_and_unlike_texts_stay(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    first = {d for (d, _), least in zip(rows, least_ids(rows)) if d == least}
+    kept = stages.near_duplicate_stage(spark, docs, sf).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(first)
+
+
+def test_an_empty_table(documents):
+    assert similarity.similar_documents(documents([]), 4).collect() == []

@@ -1,0 +1,224 @@
+"""Groups of texts with a five-word similarity of at least 0.8.
+
+The similarity of two texts is the Jaccard similarity of their sets of five-word shingles (words
+as in :mod:`wordloom.llm.simhash`, shingles as 64-bit hashes). Texts are linked if it is at least
+``LEAST``, and the links' components are the groups. Texts of equal sets are one from the start.
+
+Candidates come from two indexes, and every candidate is verified on the whole sets:
+
+- the byte-position index of fingerprints, which finds close copies, large families of them too,
+  by few links;
+- lists of shingles that no linked pair escapes. Shingles are put in one order for all texts;
+  among the first ``n - ceil(LEAST * n) + 1`` of a text's ``n`` shingles is one that each text
+  linked to it has among its own first ones. Any order will do, so shingles that a sample shows
+  in many texts are put last: then a passage that many texts share makes no long list.
+
+A list of up to ``SHORT`` texts gives all its pairs. A longer one gives pairs with some leaders,
+one in the first round and ``GROWTH`` times as many in each following one; leaders then leave
+the list, having met everyone. Pairs known to be in one component already, or whose sizes rule the
+similarity out, are left out, and so a list of one component is done. Hence a family of copies takes
+about as many pairs as it has members, and no pair of texts is passed over.
+
+Defined results: texts without words are equal to one another and to nothing else; fewer words
+than a shingle make one shingle of the whole sequence; a null ``doc_id`` takes part, but is never
+a component's id unless all of its ids are null.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from wordloom.llm.common import documents, give_back, prepare, stage, text_bytes
+from wordloom.llm.components import connected_components
+from wordloom.llm.simhash import SEED, fingerprint, near_links
+
+WORDS = 5
+LEAST = (4, 5)  # a fraction, so that a similarity of exactly 0.8 counts
+SAMPLE, OFTEN = 50_000, 10
+SHORT, GROWTH = 16, 8
+PAIRS = "a long, b long"
+
+
+def shingles(data: bytes) -> np.ndarray:
+    """The hashes of the text's shingles, each once, in ascending order."""
+    tokens = data.lower().split()
+    own = np.fromiter((xxhash.xxh64_intdigest(t, SEED) for t in tokens), np.uint64, len(tokens))
+    if not tokens:
+        return own
+    width = min(WORDS, len(own))
+    mixed = np.full(len(own) - width + 1, width, np.uint64)
+    for i in range(width):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[i : i + len(mixed)]
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return np.unique(mixed ^ (mixed >> np.uint64(29)))
+
+
+def set_key(own: np.ndarray) -> int:
+    return int(np.array(xxhash.xxh64_intdigest(own.tobytes(), SEED), np.uint64).view(np.int64))
+
+
+def prefix(own: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first shingles of a text: rare ones before those of ``often``, then by hash."""
+    last = np.isin(own, often, assume_unique=True)
+    size = len(own) - -(-LEAST[0] * len(own) // LEAST[1]) + 1
+    return np.concatenate([own[~last], own[last]])[:size]
+
+
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """If two sets are similar enough: common / (all - common) >= LEAST."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return LEAST[1] * common >= LEAST[0] * (len(x) + len(y) - common)
+
+
+def data_of(docs: DataFrame) -> DataFrame:
+    return documents(docs, "doc_id", "text").select(
+        F.col("doc_id").cast("long"), text_bytes().alias("data")
+    )
+
+
+def frequent_shingles(docs: DataFrame) -> np.ndarray:
+    """Shingles of more than ``OFTEN`` texts of a sample, equal texts being one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0):
+                own = shingles(data.as_py()).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own)], ["shingle"])
+        give_back()
+
+    data = data_of(docs).select("data")
+    slices = max(1, data.count() // SAMPLE)
+    some = data.where(F.pmod(F.xxhash64("data"), F.lit(slices)) == 0).distinct()
+    counts = some.mapInArrow(run, "shingle long").groupBy("shingle").count()
+    often = counts.where(F.col("count") > OFTEN).select("shingle").toArrow().column(0)
+    return np.sort(often.to_numpy().view(np.uint64))
+
+
+def described(docs: DataFrame) -> DataFrame:
+    """``doc_id, fp, key, size, prefix``: ``key`` stands for the set of shingles."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = shared.value
+        for batch in batches:
+            texts = [data.as_py() for data in batch.column(1)]
+            sets = [shingles(data) for data in texts]
+            fps = np.array([fingerprint(data, 3) for data in texts], np.uint64).view(np.int64)
+            first = [prefix(own, often).view(np.int64) for own in sets]
+            columns = [
+                batch.column(0),
+                pa.array(fps, pa.int64()),
+                pa.array([set_key(own) for own in sets], pa.int64()),
+                pa.array([len(own) for own in sets], pa.int64()),
+                pa.array(first, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "key", "size", "prefix"])
+        give_back()
+
+    kinds = "doc_id long, fp long, key long, size long, prefix array<long>"
+    return data_of(docs).mapInArrow(run, kinds)
+
+
+def sets_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, shingles`` (bytes) of the sets with the given keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(data.as_py()) for data in batch.column(1)]
+            columns = [
+                pa.array([set_key(own) for own in sets], pa.int64()),
+                pa.array([own.tobytes() for own in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
+        give_back()
+
+    sets = data_of(docs).mapInArrow(run, "key long, shingles binary")
+    return sets.join(keys, "key", "left_semi").dropDuplicates(["key"])
+
+
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs of keys ``a, b`` whose sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column("x"), batch.column("y")
+            keep = [
+                linked(np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64))
+                for i in range(batch.num_rows)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
+
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = stage(pairs.where("a <> b").distinct(), "candidates")
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = stage(sets_of(docs, keys), "sets")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    return stage(both.mapInArrow(run, PAIRS), "links")
+
+
+def close_copies(sets: DataFrame, distance: int) -> DataFrame:
+    """Candidates ``a, b`` by the fingerprints of ``sets`` (``key, fp``)."""
+    by_fp = stage(sets.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
+    equal = sets.join(by_fp, "fp").select(F.col("key").alias("a"), F.col("first").alias("b"))
+    near = near_links(by_fp.select("fp"), distance).toDF("fp", "other")
+    near = near.join(by_fp, "fp").select("other", F.col("first").alias("a"))
+    near = near.join(by_fp, near["other"] == by_fp["fp"]).select("a", F.col("first").alias("b"))
+    return equal.union(near)
+
+
+def possible(members: DataFrame, others: DataFrame, distinct: str) -> DataFrame:
+    """Candidates ``a, b`` of the same list, but for those of one component or unlike sizes."""
+    pairs = members.select("shingle", F.col("key").alias("a"), F.col("root").alias("r"), F.col("size").alias("m"))
+    others = others.select("shingle", F.col("key").alias("b"), F.col("root").alias("s"), F.col("size").alias("n"))
+    sizes = f"{LEAST[1]} * least(m, n) >= {LEAST[0]} * greatest(m, n)"
+    return pairs.join(others, "shingle").where(f"r <> s and {sizes} and {distinct}").select("a", "b")
+
+
+def similar_documents(docs: DataFrame, distance: int) -> DataFrame:
+    """``doc_id, component_id``: components of documents linked by their similarity.
+
+    ``distance`` is the number of bits up to which the fingerprints' index looks.
+    """
+    prepare(docs.sparkSession)
+    named = stage(described(docs), "described")
+    sets = named.groupBy("key").agg(
+        F.first("fp").alias("fp"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
+    )
+    sets = stage(sets, "distinct_sets")
+    links = verified(docs, close_copies(sets.select("key", "fp"), distance))
+    lists = sets.select("key", "size", F.explode("prefix").alias("shingle"))
+    several = lists.groupBy("shingle").count().where("count > 1")
+    left = stage(lists.join(several, "shingle", "left_semi"), "lists")
+    leaders_wanted = 1
+    while True:
+        roots = stage(connected_components(links), "roots")
+        rooted = left.join(roots, left["key"] == roots["node"], "left").select(
+            "shingle", "key", "size", F.coalesce("root", "key").alias("root")
+        )
+        rooted = stage(rooted, "rooted")
+        several = rooted.groupBy("shingle").agg(F.count("*").alias("members"), F.min("root"), F.max("root"))
+        several = several.where("`min(root)` <> `max(root)`").select("shingle", "members")
+        left = stage(rooted.join(several, "shingle"), "lists")
+        if left.isEmpty():
+            break
+        short, long = left.where(F.col("members") <= SHORT), left.where(F.col("members") > SHORT)
+        # The same texts lead in all of their lists, which leaves fewer pairs to verify.
+        deal = F.pmod(F.xxhash64("key", F.lit(leaders_wanted)), F.lit(leaders_wanted))
+        one = F.min(F.struct(F.xxhash64("key").alias("p"), "key", "root", "size")).alias("one")
+        leaders = long.groupBy("shingle", deal.alias("deal")).agg(one).select("shingle", "one.*")
+        leaders = stage(leaders.select("shingle", "key", "root", "size"), "leaders")
+        pairs = possible(short, short, "a < b").union(possible(long, leaders, "a <> b"))
+        links = stage(links.union(verified(docs, pairs)), "links")
+        left = long.join(leaders, ["shingle", "key"], "left_anti").select("shingle", "key", "size")
+        leaders_wanted *= GROWTH
+    rooted = named.select("doc_id", "key").join(roots, named["key"] == roots["node"], "left")
+    rooted = stage(rooted.select("doc_id", F.coalesce("root", "key").alias("root")), "members")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted.join(least, "root").select("doc_id", "component_id")
