@@ -121,6 +121,18 @@ def test_leaks_and_paraphrases_are_found(spark, documents):
     assert exact <= found and not found - leaked
 
 
+def test_copies_of_long_items_are_found(spark, documents):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(5000)]
+    say = lambda n: " ".join(rng.choices(words, k=n))
+    items = [(i, say(n)) for i, n in enumerate((20, 65, 129, 260, 700, 1500))]
+    rows = [(i, f"{say(37 * i + 5)} {text} {say(90)}") for i, text in items]
+    rows += [(i + 100, say(300)) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = dc.contaminated(documents(rows), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.common) for r in found) == [(i, i, 1.0) for i, _ in items]
+
+
 def test_latent_space_is_the_singular_subspace(documents):
     rows, _, _ = corpus(5, 60)
     words = dc.hashed_words(documents(rows)).cache()

@@ -13,8 +13,9 @@ drown what they differ in.
 Passages, and pairs of neighbouring ones, with a cosine of at least ``COSINE`` are candidates;
 for an item shorter than a passage, which fills less of it, the bound falls with the square
 root of its share.
-A candidate counts as a leak if the longest common subsequence of its words (with a passage's
-worth on either side) and the item's words covers ``COMMON`` of the item, or, as a paraphrase,
+An item of more than two passages is also looked up by parts of about a passage each.
+A candidate counts as a leak if the longest common subsequence of its words (with as many passages
+as the item fills on either side) and the item's words covers ``COMMON`` of the item, or, as a paraphrase,
 ``PARAPHRASED`` of it and holds the item's answer as it stands. An item's answer is its last
 sentence of at least ``ANSWER`` words.
 
@@ -48,8 +49,8 @@ COSINE = 0.36
 COMMON, PARAPHRASED, ANSWER = 0.6, 0.5, 3
 ITEMS_AT_ONCE = 20_000
 WORDS_AT_ONCE = 1 << 16
-# A candidate pair of passages with one more on either side.
-AROUND = (-1, 0, 1, 2)
+# Up to so many passages, an item's candidates are checked for its words all at once.
+FEW_PASSAGES = 4
 ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 HITS = "doc_id long, item_id long, cosine double, common double, answer boolean"
 
@@ -107,14 +108,14 @@ def lot_of(texts: list[np.ndarray], owners: list[int]) -> Lot:
     return Lot(words, used, np.repeat(owners, counts), features)
 
 
-def lots(batch: pa.RecordBatch) -> Iterator[Lot]:
-    """The rows of a batch, some at a time; a longer text is cut after whole passages, with two
-    passages said twice so that no neighbours are parted."""
+def lots(batch: pa.RecordBatch, twice: int = 2) -> Iterator[Lot]:
+    """The rows of a batch, some at a time; a longer text is cut after whole passages, with so
+    many passages said ``twice`` that no neighbours are parted."""
     texts, owners, size = [], [], 0
     for i, cell in enumerate(batch.column(1)):
         words = np.frombuffer(cell.as_py(), np.uint32)
         for lo in range(0, len(words), WORDS_AT_ONCE):
-            texts.append(words[lo : lo + WORDS_AT_ONCE + 2 * PASSAGE * (lo + WORDS_AT_ONCE < len(words))])
+            texts.append(words[lo : lo + WORDS_AT_ONCE + twice * PASSAGE * (lo + WORDS_AT_ONCE < len(words))])
             owners.append(i)
             size += len(texts[-1])
             if size >= WORDS_AT_ONCE:
@@ -234,34 +235,43 @@ class Items:
     answers: list[np.ndarray]
     vectors: np.ndarray
     bounds: np.ndarray
-    features: np.ndarray  # of each item's words, filled up with a feature that is never there
+    owner: np.ndarray  # the item of each vector and bound
     sizes: np.ndarray
+    reach: np.ndarray  # the passages that each item fills
     masks: list[dict[int, int]]
 
 
 def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace) -> Items:
-    words, answers, vectors = [], [], []
+    words, answers, vectors, owner, filled = [], [], [], [], []
     for text in texts:
         own = word_hashes(text.encode())
         sentences = [word_hashes(s.encode()) for s in re.split(r"[.!?\n]+", text)]
         long = [s for s in sentences if len(s) >= ANSWER]
         words.append(own)
         answers.append(long[-1] if long else own[:0])
-        vectors.append(space.places[np.unique(own % FEATURES)].sum(axis=0))
+        parts = -(-len(own) // PASSAGE)
+        for part in [own, *(np.array_split(own, parts) if parts > 2 else [])]:
+            vectors.append(space.places[np.unique(part % FEATURES)].sum(axis=0))
+            filled.append(min(1, len(part) / PASSAGE))
+            owner.append(len(words) - 1)
     masks = []
     for own in words:
         mask: dict[int, int] = {}
         for i, word in enumerate(own.tolist()):
             mask[word] = mask.get(word, 0) | 1 << i
         masks.append(mask)
-    filled = np.array([min(1, len(own) / PASSAGE) for own in words])
-    bounds = np.where(filled > 0, COSINE * np.sqrt(filled), 2)
+    bounds = np.where(np.array(filled) > 0, COSINE * np.sqrt(filled), 2)
     sizes = np.array([len(own) for own in words], np.int64)
-    features = np.full((len(words), max(1, sizes.max(initial=0))), FEATURES)
-    for row, own in zip(features, words):
-        row[: len(own)] = own % FEATURES
-    vectors = unit_rows(np.array(vectors).reshape(len(texts), -1))
-    return Items(ids, words, answers, vectors, bounds, features, sizes, masks)
+    vectors = unit_rows(np.array(vectors).reshape(len(owner), -1))
+    reach = np.maximum(1, -(-sizes // PASSAGE))
+    return Items(ids, words, answers, vectors, bounds, np.array(owner, np.int64), sizes, reach, masks)
+
+
+def stretch(lot: Lot, passage: int, reach: int) -> slice:
+    """The passages that hold a copy which ``passage`` or the pair it begins is part of."""
+    lo, hi = max(0, passage - reach), min(len(lot.owner), passage + reach + 2)
+    same = np.flatnonzero(lot.owner[lo:hi] == lot.owner[passage])
+    return slice(lo + int(same[0]), lo + int(same[-1]) + 1)
 
 
 def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
@@ -272,12 +282,27 @@ def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.
     present = np.zeros((len(lot.words) + 1, FEATURES + 1), bool)
     row, at = np.nonzero(lot.used)
     present[row, lot.features[row, at]] = True
-    held = np.zeros((len(passage), items.features.shape[1]), bool)
-    for step in AROUND:
-        near = np.clip(passage + step, 0, len(lot.words) - 1)
-        near = np.where(lot.owner[near] == lot.owner[passage], near, len(lot.words))
-        held |= present[near[:, None], items.features[item]]
-    return held.sum(axis=1) >= PARAPHRASED * items.sizes[item]
+    number = np.zeros(len(passage), np.int64)
+    reaches = items.reach[item]
+    for reach in np.unique(reaches[reaches <= FEW_PASSAGES]).tolist():
+        which = np.flatnonzero(reaches == reach)
+        kinds, nth = np.unique(item[which], return_inverse=True)
+        # Filled up with a feature that is never there.
+        features = np.full((len(kinds), reach * PASSAGE), FEATURES)
+        for own, k in zip(features, kinds.tolist()):
+            own[: items.sizes[k]] = items.words[k] % FEATURES
+        held = np.zeros((len(which), reach * PASSAGE), bool)
+        for step in range(-reach, reach + 2):
+            near = np.clip(passage[which] + step, 0, len(lot.words) - 1)
+            near = np.where(lot.owner[near] == lot.owner[passage[which]], near, len(lot.words))
+            held |= present[near[:, None], features[nth]]
+        number[which] = held.sum(axis=1)
+    for i in np.flatnonzero(reaches > FEW_PASSAGES).tolist():
+        rows = stretch(lot, int(passage[i]), int(reaches[i]))
+        there = np.zeros(FEATURES, bool)
+        there[lot.features[rows][lot.used[rows]]] = True
+        number[i] = there[items.words[item[i]] % FEATURES].sum()
+    return number >= PARAPHRASED * items.sizes[item]
 
 
 def common_length(mask: dict[int, int], size: int, words: list[int]) -> int:
@@ -306,25 +331,29 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             best: dict[tuple[int, int], tuple] = {}
-            for lot in lots(batch):
+            for lot in lots(batch, int(items.reach.max(initial=1)) + 1):
                 sums = space.sums(lot)
                 pairs = sums.copy()
                 same = lot.owner[1:] == lot.owner[:-1]
                 pairs[:-1][same] += sums[1:][same]
                 cosine = np.maximum(unit_rows(sums) @ items.vectors.T, unit_rows(pairs) @ items.vectors.T)
-                passage, item = np.nonzero(cosine >= items.bounds)
+                passage, vector = np.nonzero(cosine >= items.bounds)
+                met, nth = np.unique(
+                    np.stack([passage, items.owner[vector]], axis=1), axis=0, return_inverse=True
+                )
+                highest = np.full(len(met), -1.0)
+                np.maximum.at(highest, nth.ravel(), cosine[passage, vector])
+                passage, item = met[:, 0], met[:, 1]
                 use = likely(lot, items, passage, item)
-                for p, k in zip(passage[use].tolist(), item[use].tolist()):
-                    rows = [q for q in range(p + AROUND[0], p + AROUND[-1] + 1) if 0 <= q < len(lot.owner)]
-                    rows = [q for q in rows if lot.owner[q] == lot.owner[p]]
-                    around = lot.words[rows].ravel().tolist()
+                for p, k, c in zip(passage[use].tolist(), item[use].tolist(), highest[use].tolist()):
+                    around = lot.words[stretch(lot, p, int(items.reach[k]))].ravel().tolist()
                     size = len(items.words[k])
                     common = common_length(items.masks[k], size, around) / size
                     if common < PARAPHRASED:
                         continue
                     answer = holds(around, items.answers[k].tolist())
                     if common >= COMMON or answer:
-                        key, found = (int(lot.owner[p]), k), (common, answer, float(cosine[p, k]))
+                        key, found = (int(lot.owner[p]), k), (common, answer, c)
                         best[key] = max(best.get(key, found), found)
             rows = [(ids[d], items.ids[k], c, common, a) for (d, k), (common, a, c) in best.items()]
             columns = list(zip(*rows)) or [[]] * 5
