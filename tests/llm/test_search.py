@@ -133,6 +133,24 @@ def test_copies_of_long_items_are_found(spark, documents):
     assert sorted((r.doc_id, r.item_id, r.common) for r in found) == [(i, i, 1.0) for i, _ in items]
 
 
+def test_verbatim_copies_among_hot_passages_are_found(spark, documents):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    say = lambda n: rng.choices(words, k=n)
+    hot = [say(60) for _ in range(80)]
+    items = [(i, " ".join(say(rng.randrange(5, 50)))) for i in range(60)]
+    rows = []
+    for i in range(800):
+        text = say(rng.randrange(30, 90))
+        for passage in rng.sample(hot, 4):
+            text += passage + say(rng.randrange(20))
+        at = rng.randrange(len(text))
+        rows.append((i, " ".join([*text[:at], items[i][1], *text[at:]] if i < 60 else text)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dc.contaminated(documents(rows), benchmark).collect()}
+    assert {(i, i) for i in range(60)} <= found
+
+
 def test_latent_space_is_the_singular_subspace(documents):
     rows, _, _ = corpus(5, 60)
     words = dc.hashed_words(documents(rows)).cache()

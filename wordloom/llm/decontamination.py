@@ -13,6 +13,9 @@ drown what they differ in.
 Passages, and pairs of neighbouring ones, with a cosine of at least ``COSINE`` are candidates;
 for an item shorter than a passage, which fills less of it, the bound falls with the square
 root of its share.
+Whatever the cosine, the passage in which a text has a run of ``RUN`` words in common with an item
+(all of a shorter item) is a candidate too: so no verbatim copy depends on how well the latent
+space, which follows the corpus, tells it apart.
 An item of more than two passages is also looked up by parts of about a passage each.
 A candidate counts as a leak if the longest common subsequence of its words (with as many passages
 as the item fills on either side) and the item's words covers ``COMMON`` of the item, or, as a paraphrase,
@@ -47,6 +50,7 @@ FEATURES = 1 << 13
 RANK, EXTRA = 64, 16
 COSINE = 0.36
 COMMON, PARAPHRASED, ANSWER = 0.6, 0.5, 3
+RUN = 8
 ITEMS_AT_ONCE = 20_000
 WORDS_AT_ONCE = 1 << 16
 # Up to so many passages, an item's candidates are checked for its words all at once.
@@ -236,9 +240,11 @@ class Items:
     vectors: np.ndarray
     bounds: np.ndarray
     owner: np.ndarray  # the item of each vector and bound
+    whole: np.ndarray  # the vector of each item as a whole
     sizes: np.ndarray
     reach: np.ndarray  # the passages that each item fills
     masks: list[dict[int, int]]
+    runs: list[tuple[int, np.ndarray, np.ndarray]]  # length; sorted hashes, the item of each
 
 
 def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace) -> Items:
@@ -264,7 +270,42 @@ def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace)
     sizes = np.array([len(own) for own in words], np.int64)
     vectors = unit_rows(np.array(vectors).reshape(len(owner), -1))
     reach = np.maximum(1, -(-sizes // PASSAGE))
-    return Items(ids, words, answers, vectors, bounds, np.array(owner, np.int64), sizes, reach, masks)
+    whose = np.array(owner, np.int64)
+    whole = np.searchsorted(whose, np.arange(len(words)))
+    runs = []
+    for size in sorted({min(RUN, len(own)) for own in words if len(own)}):
+        mine = [i for i, own in enumerate(words) if min(RUN, len(own)) == size]
+        own = [np.unique(run_hashes(words[i], size)) for i in mine]
+        hashes, holder = np.concatenate(own), np.repeat(mine, [len(h) for h in own])
+        order = np.argsort(hashes, kind="stable")
+        runs.append((size, hashes[order], holder[order]))
+    return Items(ids, words, answers, vectors, bounds, whose, whole, sizes, reach, masks, runs)
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """One hash for each run of ``size`` words."""
+    mixed = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for i in range(size):
+        mixed = (mixed + words[i : i + len(mixed)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return mixed
+
+
+def same_runs(lot: Lot, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """Passages in which a run of an item's words begins, and these items."""
+    flat, passages, found = lot.words.ravel(), [], []
+    for size, hashes, holder in items.runs:
+        own = run_hashes(flat, size)
+        lo = np.searchsorted(hashes, own)
+        at = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == own)
+        at = at[lot.owner[at // PASSAGE] == lot.owner[(at + size - 1) // PASSAGE]]
+        many = np.searchsorted(hashes, own[at], "right") - lo[at]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        passages.append(np.repeat(at // PASSAGE, many))
+        found.append(holder[np.repeat(lo[at], many) + nth])
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(passages), np.concatenate(found)
 
 
 def stretch(lot: Lot, passage: int, reach: int) -> slice:
@@ -338,11 +379,15 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items) -> DataFrame:
                 pairs[:-1][same] += sums[1:][same]
                 cosine = np.maximum(unit_rows(sums) @ items.vectors.T, unit_rows(pairs) @ items.vectors.T)
                 passage, vector = np.nonzero(cosine >= items.bounds)
-                met, nth = np.unique(
-                    np.stack([passage, items.owner[vector]], axis=1), axis=0, return_inverse=True
-                )
+                item, score = items.owner[vector], cosine[passage, vector]
+                # A shared run is scored by the item's own vector.
+                begins, whose = same_runs(lot, items)
+                own_score = cosine[begins, items.whole[whose]]
+                passage, item = np.concatenate([passage, begins]), np.concatenate([item, whose])
+                score = np.concatenate([score, own_score])
+                met, nth = np.unique(np.stack([passage, item], axis=1), axis=0, return_inverse=True)
                 highest = np.full(len(met), -1.0)
-                np.maximum.at(highest, nth.ravel(), cosine[passage, vector])
+                np.maximum.at(highest, nth.ravel(), score)
                 passage, item = met[:, 0], met[:, 1]
                 use = likely(lot, items, passage, item)
                 for p, k, c in zip(passage[use].tolist(), item[use].tolist(), highest[use].tolist()):
