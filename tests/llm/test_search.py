@@ -151,6 +151,14 @@ def test_verbatim_copies_among_hot_passages_are_found(spark, documents):
     assert {(i, i) for i in range(60)} <= found
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_a_table_of_nothing_but_the_item(spark, documents, copies):
+    text = "one short document that is the benchmark item as it stands"
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    found = dc.contaminated(documents([(i, text) for i in range(copies)]), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.common) for r in found) == [(i, 1, 1.0) for i in range(copies)]
+
+
 def test_latent_space_is_the_singular_subspace(documents):
     rows, _, _ = corpus(5, 60)
     words = dc.hashed_words(documents(rows)).cache()
