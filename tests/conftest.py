@@ -4,25 +4,12 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from wordloom.session import local_session  # noqa: E402
+from tables import GOLDEN_LINES  # noqa: E402
 from wordloom.sources.lines import LINES_SCHEMA  # noqa: E402
 
-# The golden example of FIXTURES.md.
-GOLDEN_LINES = [
-    (0, "A B C\t1990\t3\t1\t1"),
-    (1, "A B C\t1991\t1\t1\t1"),
-    (2, "A B D\t1990\t1\t1\t1"),
-    (3, "A B E\t1990\t1\t1\t1"),
-    (4, "A B E\t1991\t3\t1\t1"),
-    (5, "X Y Z\t1990\t1\t1\t1"),
-    (6, "a b c\t1990\t9\t1\t1"),
-    (7, "A B\t1990\t4\t1\t1"),
-    (8, "X Y Z\t1991\t2\t1\t1"),
-    (9, "A B D\t91\t5\t1\t1"),
-]
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     return local_session(4)
@@ -39,8 +26,3 @@ def frame(spark):
 @pytest.fixture
 def golden(frame):
     return frame(GOLDEN_LINES)
-
-
-def rows(df, *columns):
-    """All rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=repr)

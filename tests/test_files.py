@@ -2,7 +2,7 @@
 
 import pytest
 from pyspark.sql.types import StructType
-from conftest import GOLDEN_LINES, rows
+from tables import GOLDEN_LINES, rows
 
 from wordloom.job import arguments, run
 from wordloom.plans import staging

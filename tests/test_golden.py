@@ -1,7 +1,7 @@
 """The worked example, from lines to the ranked table."""
 
 import pytest
-from conftest import rows
+from tables import rows
 from pyspark.sql import functions as F
 
 from wordloom.operators.counts import corpus_total

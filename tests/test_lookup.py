@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from tables import rows
 
 from wordloom.plans.knowledge_base import KnowledgeBase
 

@@ -1,7 +1,7 @@
 """Which lines count, and what is read from them."""
 
 import pytest
-from conftest import rows
+from tables import rows
 
 from wordloom.functions.ngrams import capture_groups
 from wordloom.operators.counts import corpus_total

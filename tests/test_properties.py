@@ -5,7 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from tables import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

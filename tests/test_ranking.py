@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from tables import rows
 
 from wordloom.operators.ranking import number_rows, number_rows_sliced, slice_cuts
 from wordloom.plans import knowledge_base

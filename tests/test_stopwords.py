@@ -1,4 +1,4 @@
-from conftest import rows
+from tables import rows
 
 from wordloom.operators.stopwords import without_stop_words
 

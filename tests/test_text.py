@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows
+from tables import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
