@@ -1,0 +1,95 @@
+"""Token alignment against plain Python over single texts."""
+
+from collections import Counter
+from hashlib import sha256
+
+import public_tokenizers
+import pytest
+
+from wordloom.llm import token_alignment as ta
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def tools():
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        return ta.Tokenizers(a.read(), b.read())
+
+
+def plain(t, text):
+    """(ids of A, ids of B, groups as text, links) of one text, walking both token by token."""
+    if not text:
+        return [], [], "", []
+    a = t.a.encode(" " + text, add_special_tokens=False).ids
+    b = t.b.encode(text)
+    data = (" " + text).encode()
+    if any(b"".join(size[i] for i in ids) != data for ids, size in ((a, t.a_bytes), (b, t.b_bytes))):
+        return [], [], "", []
+    groups, links, own = [], [], ([], [])
+    reach, at = [0, 0], [0, 0]
+    while at[0] < len(a) or at[1] < len(b):
+        k = 0 if at[0] < len(a) and (reach[0] <= reach[1] or at[1] == len(b)) else 1
+        token = (a, b)[k][at[k]]
+        own[k].append(token)
+        reach[k] += len((t.a_bytes, t.b_bytes)[k][token])
+        at[k] += 1
+        if reach[0] == reach[1]:
+            groups.append("|".join(",".join(map(str, x)) for x in own))
+            links.append((own[0][-1], own[1][-1]))
+            own = ([], [])
+    return a, b, ";".join(groups), links
+
+
+def expected(t, rows):
+    found = [(doc_id, *plain(t, text)) for doc_id, text in rows]
+    counts = Counter(link for *_, links in found for link in links)
+    most = Counter()
+    for (_, b), n in counts.items():
+        most[b] = max(most[b], n)
+    return sorted(
+        (
+            (i, len(a), len(b), len(links), len(links), sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links), sha256(g.encode()).hexdigest() if g else "")
+            for i, a, b, g, links in found
+        ),
+        key=repr,
+    )
+
+
+def result(docs, **options):
+    return sorted((tuple(r) for r in ta.align_tokenizers(docs, A, B, **options).collect()), key=repr)
+
+
+def test_whole_query_against_plain_python(spark, tools):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = sorted((tuple(r) for r in ta.op11_token_alignment(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    assert found == expected(tools, rows)
+
+
+def test_nasty_rows(nasty, tools):
+    rows = [tuple(r) for r in nasty.select("doc_id", "text").collect()]
+    assert result(nasty) == expected(tools, rows)
+
+
+@pytest.mark.parametrize("batch_bytes", [1, 200, 10**9])
+def test_batches_do_not_matter(documents, tools, batch_bytes):
+    rows = [(i % 7, t) for i, t in enumerate(["one two three", "two three", "", None, "three  four"] * 6)]
+    assert result(documents(rows), batch_bytes=batch_bytes) == expected(tools, rows)
+
+
+def test_empty_table(documents):
+    docs = documents([])
+    assert result(docs) == []
+    assert ta.align_tokenizers(docs, A, B).columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_long_texts_are_encoded_in_parts(tools, monkeypatch):
+    text = "It's a  long\n text of wörds, 日本語 and <|endoftext|> signs... " * 40
+    whole = plain(tools, text)
+    monkeypatch.setattr(ta, "PART", 13)
+    assert len(tools.parts(text)) > 100
+    a, b = tools.encode(text)
+    assert (a.tolist(), b.tolist()) == (whole[0], whole[1])
+    (groups, links, digest), = ta.align(tools, [(a, b)])
+    assert digest == sha256(whole[2].encode()).hexdigest() and groups == len(links) == len(whole[3])

@@ -1,0 +1,104 @@
+"""License scans against plain Python."""
+
+import re
+
+import pytest
+
+from wordloom.llm import license_scan as ls
+
+
+def words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def base(text):
+    own = words(text)
+    places = [
+        (i, label)
+        for phrase, label in ls.PHRASES.items()
+        for i in range(len(own))
+        if own[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in places]
+    labels = ",".join(sorted({label for _, label in places}))
+    return len(own), len(places), min(starts, default=None), max(starts, default=None), labels
+
+
+def check(docs, rows):
+    found = [tuple(r) for r in ls.scan_licenses(docs).collect()]
+    assert sorted((r[:6] for r in found), key=repr) == sorted(((i, *base(t)) for i, t in rows), key=repr)
+    for *_, base_labels, labels, score in found:
+        assert set(base_labels.split(",")) - {""} <= set(labels.split(",")) and 0 <= score <= 1
+        assert list(filter(None, labels.split(","))) == sorted(set(filter(None, labels.split(","))))
+    return found
+
+
+def test_whole_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = check(docs, [tuple(r) for r in docs.select("doc_id", "text").collect()])
+    assert sum(r[2] > 0 for r in found) > 20
+
+
+def test_nasty_rows(nasty):
+    check(nasty, [tuple(r) for r in nasty.select("doc_id", "text").collect()])
+
+
+def test_empty_table(documents):
+    assert ls.scan_licenses(documents([])).collect() == []
+
+
+def test_places_overlap_and_repeat(documents):
+    rows = [
+        (1, "MIT License mit license\nMIT  LICENSE, cc by cc-by CC BY"),
+        (1, "MIT License mit license\nMIT  LICENSE, cc by cc-by CC BY"),
+        (1, "another text under the same id: Apache-License"),
+        (None, "GNU General Public License"),
+        (None, "GNU General Public License"),
+        (None, "gnu general public"),
+        (3, "mit licenses; mıt license; the mit-license"),
+        (4, "mit license " * 3000),
+    ]
+    check(documents(rows), rows)
+
+
+MIT = next(text for text, label in ls.NOTICES.items() if label == "mit" and len(text.split()) > 20)
+
+
+@pytest.mark.parametrize(
+    "change, named",
+    [
+        (lambda w: w, True),
+        (lambda w: ["x"] * 50 + w + ["y"] * 50, True),
+        (lambda w: w[:10] + ["really", "quite"] + w[10:], True),  # put in: two diagonals
+        (lambda w: w[:10] + w[12:20] + w[21:], True),  # left out: three diagonals
+        (lambda w: w[:8], False),  # too little of it
+        (lambda w: w[:12] + ["z"] * 100 + w[12:], False),  # too far apart to be one span
+        (lambda w: list(reversed(w)), False),
+    ],
+)
+def test_notices_with_changes(documents, change, named):
+    text = " ".join(change(MIT.split()))
+    (row,) = ls.scan_licenses(documents([(7, text)])).collect()
+    assert ("mit" in row.labels.split(",")) == named and row.n_base == 0
+    assert (row.score >= ls.LEAST) == named
+
+
+def test_short_notices_are_held_whole(documents):
+    rows = [(1, "Licensed under CC BY-NC 4.0."), (2, "Licensed under CC BY-NC 3.0."), (3, "licensed under the GNU General Public License, version 3")]
+    found = {r.doc_id: r.labels for r in ls.scan_licenses(documents(rows)).collect()}
+    assert found == {1: "cc-by,cc-by-nc-4.0", 2: "cc-by", 3: "gpl,gpl-3.0"}
+
+
+def test_own_templates_of_any_length(documents):
+    own = [ls.Template("word", "one", True), ls.Template("a b c d e f", "six", True), ls.Template("", "none")]
+    rows = [(1, "word a b c d e f word"), (2, "a b c d e g"), (3, None)]
+    found = {r.doc_id: (r.n_base, r.first_word, r.last_word, r.labels) for r in ls.scan_licenses(documents(rows), own).collect()}
+    assert found == {1: (3, 0, 7, "one,six"), 2: (0, None, None, ""), 3: (0, None, None, "")}
+
+
+def test_native(documents):
+    docs = documents([(1, "mit license")])
+    table = ls.template_table(docs.sparkSession, ls.TEMPLATES)
+    plan = ls.hits(docs, ls.template_runs(table, [2, 4]), [2, 4])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InArrow" not in plan and "ExistingRDD" not in plan.split("Generate")[0].split("Scan")[0]

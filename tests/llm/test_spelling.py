@@ -1,0 +1,109 @@
+"""Spelling variants against all pairs in plain Python."""
+
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from wordloom.llm import spelling_variants as sv
+
+
+def plain_vocabulary(rows, length=5, count=3, every=97):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            code = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if code % every == 0:
+                at = code % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= length and n >= count}
+
+
+def one_edit(x, y):
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) - len(x) > 1 or x == y:
+        return False
+    i = 0
+    while i < len(x) and x[i] == y[i]:
+        i += 1
+    return x[i + (len(x) == len(y)) :] == y[i + 1 :]
+
+
+def plain_groups(words, times=2):
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= times * n else None
+    rows = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.append((w, form[w], root, n, len(near[w]), words.get(form[w])))
+    return sorted(rows)
+
+
+def grouped(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_whole_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    found = grouped(sv.op13_spelling_variants(spark, sf))
+    assert found == plain_groups(plain_vocabulary(rows)) and any(r[1] for r in found)
+
+
+def test_vocabulary_of_nasty_rows(nasty):
+    rows = [tuple(r) for r in nasty.select("doc_id", "text").collect()]
+    for options in ({}, {"length": 1, "count": 1}, {"length": 2, "count": 1, "typo_every": 2}):
+        found = {r.word: r.n for r in sv.vocabulary(nasty, **options).collect()}
+        named = {"length": 5, "count": 3, "typo_every": 97} | options
+        expected = plain_vocabulary(rows, named["length"], named["count"], named["typo_every"])
+        assert found == {w: n for w, n in expected.items() if w}
+
+
+def test_empty_table(documents, spark):
+    assert sv.vocabulary(documents([])).collect() == []
+    assert grouped(sv.group_variants(spark.createDataFrame([], "word string, n long"))) == []
+
+
+WORDS = {
+    "house": 100, "houses": 40, "housee": 5, "hause": 5, "mouse": 50, "ouse": 3, "hous": 7,
+    "aaaaa": 9, "aaaa": 20, "aaaaaa": 40, "aaaab": 3, "baaaa": 3, "abaaa": 4, "éaaaa": 3, "aaaaé": 3,
+    "w" * 3000: 3, "w" * 3001: 9, "w" * 2999 + "x": 30, "x" + "w" * 2999: 30,
+    "tie": 9, "tia": 9, "tio": 4, "zebra": 3, "zebre": 5, "zebru": 5,
+}
+
+
+@pytest.mark.parametrize("slice_words", [1, 3, 20_000])
+def test_edits_at_every_place_and_slices(spark, slice_words):
+    words = {w: n for w, n in WORDS.items() if len(w) > 3}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    assert grouped(sv.group_variants(df, slice_words=slice_words)) == plain_groups(words)
+
+
+@pytest.mark.parametrize("slice_words, at_once", [(40, 50), (20_000, 1_000_000)])
+def test_dense_words(spark, monkeypatch, slice_words, at_once):
+    """Many words over two letters: long shared prefixes, all edits, large blocks."""
+    monkeypatch.setattr(sv, "AT_ONCE", at_once)
+    words = {}
+    for size in (5, 6, 7):
+        for i in range(0, 2**size, 1 + size % 2):
+            words["".join("ab"[i >> k & 1] for k in range(size))] = 3 + i * 7919 % 1000
+    df = spark.createDataFrame(list(words.items()), "word string, n long").repartition(3)
+    assert grouped(sv.group_variants(df, slice_words=slice_words)) == plain_groups(words)
+    pairs = [tuple(sorted((r.a, r.b))) for r in sv.near_words(df, slice_words).collect()]
+    assert len(pairs) == len(set(pairs)) == sum(r[4] for r in plain_groups(words)) / 2
+
+
+def test_long_chains(spark):
+    chain = [("a" * i + "b" * (40 - i), 3 << i) for i in range(30)]
+    df = spark.createDataFrame(chain, "word string, n long")
+    found = {r.word: r.root for r in sv.group_variants(df).collect()}
+    assert set(found.values()) == {chain[-1][0]}
