@@ -84,12 +84,15 @@ def test_empty_table(documents):
     assert ta.align_tokenizers(docs, A, B).columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def test_long_texts_are_encoded_in_parts(tools, monkeypatch):
+def test_long_texts_are_cut_and_put_together(tools, monkeypatch):
     text = "It's a  long\n text of wörds, 日本語 and <|endoftext|> signs... " * 40
-    whole = plain(tools, text)
-    monkeypatch.setattr(ta, "PART", 13)
-    assert len(tools.parts(text)) > 100
-    a, b = tools.encode(text)
-    assert (a.tolist(), b.tolist()) == (whole[0], whole[1])
-    (groups, links, digest), = ta.align(tools, [(a, b)])
-    assert digest == sha256(whole[2].encode()).hexdigest() and groups == len(links) == len(whole[3])
+    a, b, groups, links = plain(tools, text)
+    for part, known in ((13, 200_000), (10**6, 3)):
+        monkeypatch.setattr(ta, "PART", part)
+        monkeypatch.setattr(ta, "KNOWN", known)
+        own = ta.Known(tools)
+        for _ in range(3):
+            (numbers,) = own.numbers([text])
+            n_a, n_b, found, digest = own.document(numbers)
+            assert (n_a, n_b, digest) == (len(a), len(b), sha256(groups.encode()).hexdigest())
+            assert [(x >> 32, x & 0xFFFFFFFF) for x in found.tolist()] == links

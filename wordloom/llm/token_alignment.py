@@ -1,19 +1,20 @@
 """Alignment of two tokenizers by interval coalescing, and how well their ids go together.
 
 A byte-level BPE (A) encodes a space and the text, a sentencepiece model (B) the text, before
-which it puts a space itself; so both cover the same bytes. Tokens of all texts of a batch lie on
-one line of bytes, end to end. All A and B tokens are sorted by start (``lexsort``), a running
-maximum of their ends is kept (``maximum.accumulate``), and a group ends where the next start
-reaches that maximum; tokens that overlap stay in one group. The last A and the last B token of a
-group end together and are linked.
+which it puts a space itself; so both cover the same bytes. A text is cut before each single space
+between other characters, where neither tokenizer has a token that goes across (checked on the
+vocabulary of B, whose texts stay whole if it fails; pre-tokens of A begin there). Tokens of all
+new pieces of a batch lie on one line of bytes, end to end. All A and B tokens are sorted by start
+(``lexsort``), a running maximum of their ends is kept (``maximum.accumulate``), and a group ends
+where the next start reaches that maximum; tokens that overlap stay in one group. The last A and the
+last B token of a group end together and are linked. What a piece gives is remembered, up to
+``KNOWN`` pieces, and documents are put together from it.
 
 How often an id pair is linked in the whole corpus comes from a shuffle of the batches' distinct
 pairs, not of links. Each batch numbers its distinct pairs; links are kept as these numbers (a list
 per document, staged). The counts of a batch's pairs, and whether a pair is the most frequent one
 of its B id, come back to the batch by its name, where the documents' sums are worked out. A batch
-holds ``BATCH_BYTES`` of text, or one longer text; a long text is encoded in parts of about
-``PART`` characters, cut before a space between other characters than white space, where neither
-tokenizer has a token that goes across (checked on the vocabulary of B; A's pre-tokens begin there).
+holds ``BATCH_BYTES`` of text, or one longer text.
 
 Tables broadcast are as large as B's vocabulary, whatever the corpus.
 
@@ -26,22 +27,28 @@ rows; columns other than ``doc_id`` and ``text`` are not used.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import documents, give_back, partitions, prepare, stage
-from wordloom.llm.token_counts import byte_letters
+from wordloom.llm.token_counts import PRE_TOKEN, SAME_CLASSES_BELOW, byte_letters
 
 BATCH_BYTES = 4_000_000
-PART = 100_000
+AT_ONCE = 5_000
+PART, KNOWN = 100_000, 600_000
+NEXT = "\n"  # stands between the groups of different pieces
 SPACE = "▁"  # fixed value: how sentencepiece writes a space
 # A cut is between a character that is no white space and a space before another such character.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -71,41 +78,142 @@ class Tokenizers:
             for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
         ]
         self.divisible = not any(SPACE in piece.lstrip(SPACE) for piece in map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        self.quick = self._quick(a_file, special)
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        # Text of an id after nothing, a comma, a bar or a semicolon.
+        # Text of an id that begins a piece, or after a comma, a bar or a semicolon.
         most = max(len(self.a_bytes), len(self.b_bytes))
-        self.text = [mark + str(i) for mark in ("", ",", "|", ";") for i in range(most)]
+        self.text = [mark + str(i) for mark in (NEXT, ",", "|", ";") for i in range(most)]
         self.most = most
 
-    def parts(self, text: str) -> list[str]:
-        """The text in parts that are encoded by themselves; a part's leading space is left out."""
-        if len(text) <= PART or not self.divisible:
-            return [text]
-        found, start = [], 0
-        while (cut := CUT.search(text, start + PART)) is not None:
-            found.append(text[start : cut.start()])
+    def _quick(self, a_file: str, special: set[str]) -> tiktoken.Encoding | None:
+        """The same merges in a faster library, if the ids of A's tokens follow its merges' order."""
+        model = json.loads(a_file)["model"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(model["vocab"][x + y] != 256 + i for i, (x, y) in enumerate(pairs)):
+            return None
+        ranks = {self.a_bytes[i]: i for token, i in model["vocab"].items() if token not in special}
+        return tiktoken.Encoding("a", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_a(self, text: str) -> list[int]:
+        if self.quick is None or max(text) >= SAME_CLASSES_BELOW:
+            return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return self.quick.encode_ordinary(text)
+
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text, some at a time; the space before each is left out."""
+        start = 0
+        while self.divisible and len(text) - start > PART:
+            cut = CUT.search(text, start + PART)
+            if cut is None:
+                break
+            yield CUT.split(text[start : cut.start()])
             start = cut.end()
-        return [*found, text[start:]]
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and B if both give the text back."""
-        a_ids, b_ids = [], []
-        for part in self.parts(text):
-            data = b" " + part.encode()
-            a = self.a.encode_batch_fast([" " + part], add_special_tokens=False)[0].ids
-            if b"".join(map(self.a_bytes.__getitem__, a)) != data:
+        text = text[start:]
+        yield CUT.split(text) if self.divisible else [text]
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, ...] | None:
+        """Ids of A, ids of B, and the end of each piece in both, for pieces one after another with a
+        space before each; None if a tokenizer does not give them back with tokens of their own."""
+        text = " " + " ".join(pieces)
+        data = text.encode()
+        a, b_lists = self.encode_a(text), self.b.encode(pieces, num_threads=1)
+        b = list(chain.from_iterable(b_lists))
+        if not b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b]):
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends = np.cumsum([len(piece.encode()) + 1 for piece in pieces])
+        found = []
+        for size in (self.a_size[a], self.b_size[b]):
+            reach = np.cumsum(size)
+            at = np.searchsorted(reach, ends)
+            if not (reach[at] == ends).all():
                 return None
-            b = self.b.encode(part, num_threads=1)
-            if b"".join(map(self.b_bytes.__getitem__, b)) != data:
-                return None
-            a_ids.append(np.array(a, np.int64))
-            b_ids.append(np.array(b, np.int64))
-        return np.concatenate(a_ids), np.concatenate(b_ids)
+            found.append(at + 1)
+        return a, b, *found
+
+
+class _Numbers(dict):
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        return number
+
+
+class Known:
+    """Pieces by number, with their tokens, links and groups as text."""
+
+    def __init__(self, t: Tokenizers):
+        self.t = t
+        self.clear()
+
+    def clear(self) -> None:
+        self.number = _Numbers()
+        self.texts: list[str] = []
+        # Per piece: if both tokenizers give it back, tokens of A, tokens of B, end of its links.
+        self.facts = np.zeros((0, 4), np.int64)
+        self.links = np.zeros(0, np.int64)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Learn pieces that are not known yet, in the order of their numbers.
+
+        Pieces that begin or end with white space cannot stand beside others.
+        """
+        alone = [i for i, p in enumerate(pieces) if not p or p[0].isspace() or p[-1].isspace()]
+        start = 0
+        for i in [*alone, len(pieces)]:
+            for at in range(start, i, AT_ONCE):
+                self.add(pieces[at : min(i, at + AT_ONCE)])
+            if i < len(pieces):
+                self.add(pieces[i : i + 1])
+            start = i + 1
+
+    def add(self, pieces: list[str]) -> None:
+        encoded = self.t.encode(pieces)
+        if encoded is None and len(pieces) > 1:
+            half = len(pieces) // 2
+            self.add(pieces[:half])
+            self.add(pieces[half:])
+            return
+        if encoded is None:
+            facts, links, texts = np.array([[0, 0, 0, 0]]), np.zeros(0, np.int64), [""]
+        else:
+            a_ends, b_ends = encoded[2:]
+            links, ends, texts = align(self.t, *encoded)
+            facts = np.stack([np.ones_like(ends), np.diff(a_ends, prepend=0), np.diff(b_ends, prepend=0), ends], axis=1)
+        facts[:, 3] += len(self.links)
+        self.facts = np.concatenate([self.facts, facts])
+        self.links = np.concatenate([self.links, links])
+        self.texts.extend(texts)
+
+    def numbers(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The numbers of the pieces of each text; a null or empty text has none."""
+        if len(self.texts) > KNOWN:
+            self.clear()
+        result = []
+        for text in texts:
+            own = array("q")
+            for pieces in self.t.pieces(text) if text else ():
+                own.extend(map(self.number.__getitem__, pieces))
+            result.append(np.frombuffer(own, np.int64) if own else np.zeros(0, np.int64))
+        self.learn(list(islice(self.number, len(self.texts), None)))
+        return result
+
+    def document(self, own: np.ndarray) -> tuple[int, int, np.ndarray, str]:
+        """Tokens of A, tokens of B, links and digest of a text of these pieces."""
+        facts = self.facts[own]
+        if not len(own) or not facts[:, 0].all():
+            return 0, 0, np.zeros(0, np.int64), ""
+        ends = facts[:, 3]
+        starts = np.where(own > 0, self.facts[own - 1, 3], 0)
+        sizes = ends - starts
+        inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        digest = hashlib.sha256(";".join([self.texts[i] for i in own.tolist()]).encode())
+        return int(facts[:, 1].sum()), int(facts[:, 2].sum()), self.links[np.repeat(starts, sizes) + inner], digest.hexdigest()
 
 
 @lru_cache(maxsize=1)
 def tokenizers(a_file: str, b_model: bytes) -> Tokenizers:
+    """Made once per worker; its tables do not change."""
     return Tokenizers(a_file, b_model)
 
 
@@ -122,11 +230,11 @@ def coalesce(a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.nda
     return group[: len(a_size)], group[len(a_size) :]
 
 
-def align(t: Tokenizers, encoded: list[tuple[np.ndarray, np.ndarray]]):
-    """For documents on one line: (groups, links as a << 32 | b, digest) of each."""
-    none = np.zeros(0, np.int64)
-    a = np.concatenate([x for x, _ in encoded] or [none])
-    b = np.concatenate([y for _, y in encoded] or [none])
+def align(
+    t: Tokenizers, a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """For pieces on one line, which end after these tokens: all links as ``a << 32 | b``, the end of
+    each piece's links, and each piece's groups as text."""
     in_a, in_b = coalesce(t.a_size[a], t.b_size[b])
     # The tokens group by group, A's before B's, with the mark that each has before it.
     key = np.concatenate([2 * in_a, 2 * in_b + 1])
@@ -138,19 +246,9 @@ def align(t: Tokenizers, encoded: list[tuple[np.ndarray, np.ndarray]]):
     mark[(step > 0) & (key % 2 == 0)] = 3
     last = np.diff(key, append=-2) != 0  # the last token of its kind in its group
     links = (ids[last & (key % 2 == 0)] << 32) | ids[last & (key % 2 == 1)]
-    edges = np.cumsum([0, *[len(x) + len(y) for x, y in encoded]])
-    mark[edges[:-1][np.diff(edges) > 0]] = 0
-    codes = (mark * t.most + ids).tolist()
-    group_of = key // 2
-    result = []
-    for lo, hi in zip(edges, edges[1:]):
-        if lo == hi:
-            result.append((0, none, ""))
-            continue
-        text = "".join(map(t.text.__getitem__, codes[lo:hi]))
-        first, after = group_of[lo], group_of[hi - 1] + 1
-        result.append((int(after - first), links[first:after], hashlib.sha256(text.encode()).hexdigest()))
-    return result
+    mark[np.concatenate([[0], (a_ends + b_ends)[:-1]])] = 0  # a piece's first token
+    text = "".join([t.text[c] for c in (mark * t.most + ids).tolist()])
+    return links, in_a[a_ends - 1] + 1, text.split(NEXT)[1:]
 
 
 def _lots(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple[int | None, str | None]]]:
@@ -181,21 +279,19 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, batch_bytes: int = BATCH_
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizers(*shared.value)
+        known = Known(tokenizers(*shared.value))
         name = TaskContext.get().partitionId() << 32
         for lot in _lots(batches, batch_bytes):
-            encoded = [(t.encode(text) if text else None) or (np.zeros(0, np.int64),) * 2 for _, text in lot]
-            found = align(t, encoded)
-            links = np.concatenate([own for _, own, _ in found])
+            found = [known.document(own) for own in known.numbers([text for _, text in lot])]
+            sizes = [len(own) for _, _, own, _ in found]
+            links = np.concatenate([own for _, _, own, _ in found])
             pairs, numbers, counts = np.unique(links, return_inverse=True, return_counts=True)
-            edges = np.cumsum([0, *[len(own) for _, own, _ in found]])
-            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(numbers.astype(np.int32)))
-            sizes = [len(own) for _, own, _ in found]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(numbers.astype(np.int32)))
+            # Every group ends with one link.
             columns = [
                 pa.array([doc_id for doc_id, _ in lot], pa.int64()),
-                pa.array([len(x) for x, _ in encoded], pa.int64()), pa.array([len(y) for _, y in encoded], pa.int64()),
-                pa.array([n for n, _, _ in found], pa.int64()), pa.array(sizes, pa.int64()),
-                pa.array([digest for _, _, digest in found], pa.string()), pa.array([name] * len(lot), pa.int64()), lists,
+                *[pa.array(n, pa.int64()) for n in ([x for x, *_ in found], [y for _, y, *_ in found], sizes, sizes)],
+                pa.array([digest for *_, digest in found], pa.string()), pa.array([name] * len(lot), pa.int64()), lists,
                 pa.nulls(len(lot), schema.field("pairs").type), pa.nulls(len(lot), schema.field("counts").type),
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
