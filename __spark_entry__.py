@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.counts import corpus_total
@@ -27,9 +27,10 @@ from wordloom.operators.parse import (
     split_words,
 )
 from wordloom.operators.probability import WORDS
-from wordloom.operators.stopwords import without_stop_words
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
-from wordloom.plans.staging import broadcast_if_small, new_path
+from wordloom.plans.next_words import write_next_words
+from wordloom.plans.staging import new_path
+from wordloom.plans.stop_list import remove_stop_words
 from wordloom.sinks.text import (
     COUNT_FIELDS,
     TABLE_FIELDS,
@@ -172,9 +173,22 @@ def _step_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return step_union(counts, frequency_stats(frequency_cells(counts)))
 
 
-def _without_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = spark.createDataFrame([(w.upper(),) for w in STOP_WORDS], "word STRING")
-    return without_stop_words(_counts(spark, sf_dir), broadcast_if_small(words))
+def _without_stop_words(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+    words = spark.createDataFrame([(w,) for w in STOP_WORDS], "word STRING")
+    return remove_stop_words(_counts(spark, sf_dir), words, **options)
+
+
+def _next_word_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What follows the last two words of each document, wherever else they stand."""
+    table = write_next_words(_kb(spark, sf_dir).ranked, new_path(spark, "next_words"))
+    letters = F.trim(F.upper(F.regexp_replace("text", "[^A-Za-z]+", " ")))
+    last = F.split(F.regexp_extract(letters, "([A-Z]+ [A-Z]+)$", 1), " ")
+    ends = _docs(spark, sf_dir).select(last.alias("last")).where(F.size("last") == 2)
+    return table.lookup(ends.select(_last_word("last", 0, "w1"), _last_word("last", 1, "w2")), TOP_K)
+
+
+def _last_word(words: str, i: int, name: str) -> Column:
+    return F.get(words, F.lit(i)).alias(name)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -224,7 +238,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kb_from_lines": lambda s, d: KnowledgeBase(counts_of_lines(_lines(s, d))).ranked,
         "next_word_topk": lambda s, d: _kb(s, d).next_words(TOP_K),
         "next_word_many": lambda s, d: _kb(s, d).next_words(MANY),
+        "next_word_lookup": _next_word_lookup,
         "trigrams_without_stopwords": _without_stop_words,
+        "trigrams_without_stopwords_long": lambda s, d: _without_stop_words(
+            s, d, max_rows=FEW_BROADCAST_ROWS
+        ),
         # Text out and in
         "kb_export_lines": lambda s, d: table_lines(_kb(s, d).sorted),
         "kb_import": _kb_import,
@@ -347,6 +365,11 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query."""
     stop = ", ".join(f"'{w.upper()}'" for w in STOP_WORDS)
     optional = llm_queries.oracle_sql() if llm_queries else {}
+    without_stop = _sql(
+        _COUNTS,
+        "SELECT w1, w2, w3, r1, r2 FROM counts "
+        f"WHERE w1 NOT IN ({stop}) AND w2 NOT IN ({stop}) AND w3 NOT IN ({stop})",
+    )
     line_kb = [*_UPPER_PARSED, "split", "counts", "unpivoted", "nr_tr", "wide", "total", "prob", "kb"]
     return optional | {
         "doc_trigrams": _sql(["tok", "word3", "tri"], "SELECT doc_id, w1, w2, w3 FROM tri"),
@@ -416,11 +439,13 @@ def oracle_sql() -> dict[str, str]:
         "next_word_many": _sql(
             [*_PROB, "kb"], f"SELECT w1, w2, w3, p, pos FROM kb WHERE pos <= {MANY}"
         ),
-        "trigrams_without_stopwords": _sql(
-            _COUNTS,
-            "SELECT w1, w2, w3, r1, r2 FROM counts "
-            f"WHERE w1 NOT IN ({stop}) AND w2 NOT IN ({stop}) AND w3 NOT IN ({stop})",
+        "next_word_lookup": _sql(
+            [*_PROB, "kb"],
+            "SELECT w1, w2, w3, p, pos FROM kb "
+            f"WHERE pos <= {TOP_K} AND (w1, w2) IN (SELECT (upper(t[-2]), upper(t[-1])) FROM tok WHERE len(t) > 1)",
         ),
+        "trigrams_without_stopwords": without_stop,
+        "trigrams_without_stopwords_long": without_stop,
         "kb_import": _sql(_PROB, "SELECT w1, w2, w3, p FROM prob"),
         "kb_export_lines": _sql(
             [*_PROB, "printed"], "SELECT w1 || ' ' || w2 || ' ' || w3 || chr(9) || t AS line FROM printed"

@@ -1,0 +1,94 @@
+"""Lookups of word pairs: results, and what is read for them."""
+
+import pytest
+from pyspark.sql import functions as F
+from tables import rows
+
+from wordloom.plans.next_words import write_next_words
+from wordloom.plans.staging import new_path
+
+PAIRS = "w1 string, w2 string"
+
+
+@pytest.fixture(scope="module")
+def ranked(spark):
+    """2,000 pairs of five followers, and one with 20,000."""
+    many = spark.range(10_000).select(
+        F.concat(F.lit("A"), (F.col("id") % 2000).cast("string")).alias("w1"), F.lit("B").alias("w2"), F.floor(F.col("id") / 2000).cast("long").alias("n")
+    )
+    hot = spark.range(20_000).select(F.lit("HOT").alias("w1"), F.lit("PAIR").alias("w2"), F.col("id").alias("n"))
+    return many.union(hot).select(
+        "w1", "w2", F.concat(F.lit("C"), F.col("n").cast("string")).alias("w3"), (1 / (F.col("n") + 2)).alias("p"), (F.col("n") + 1).alias("pos")
+    )
+
+
+@pytest.fixture(scope="module")
+def table(spark, ranked):
+    # Partitions this small would be merged.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield write_next_words(ranked, new_path(spark, "next_words"), buckets=16, group_bytes=16_384)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def scanned(df):
+    """Rows that came out of the table's scan, and files read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "Adaptive" in plan.getClass().getSimpleName() else plan
+    found, nodes = [], [plan]
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        nodes.extend(children.apply(i) for i in range(children.size()))
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            nodes.append(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            metrics = node.metrics()
+            found.append((metrics.apply("numOutputRows").value(), metrics.apply("numFiles").value()))
+    return max(found)
+
+
+@pytest.mark.parametrize("few", [0, 10])
+@pytest.mark.parametrize("max_broadcast_rows", [0, 1000])
+def test_all_plans_give_the_same(spark, ranked, table, few, max_broadcast_rows):
+    asked = [("A7", "B"), ("A7", "B"), ("A1999", "B"), ("HOT", "PAIR"), ("NOT", "THERE"), (None, "B"), ("A7", None)]
+    table = type(table)(spark, table.path, table.buckets, max_broadcast_rows, few)
+    found = table.lookup(spark.createDataFrame(asked, PAIRS), 3)
+    expected = ranked.where("(w1 in ('A7', 'A1999') or w1 = 'HOT') and pos <= 3")
+    assert rows(found) == rows(expected) and found.count() == 9
+
+
+def test_nothing_asked(spark, table):
+    found = table.lookup(spark.createDataFrame([], PAIRS), 3)
+    assert found.collect() == [] and found.columns == ["w1", "w2", "w3", "p", "pos"]
+
+
+def test_empty_table(spark, ranked):
+    table = write_next_words(ranked.where("false"), new_path(spark, "next_words"))
+    assert table.lookup(spark.createDataFrame([("A7", "B")], PAIRS), 3).collect() == []
+
+
+def test_a_few_pairs_read_a_few_row_groups(spark, table):
+    everything, files = scanned(table.rows)
+    assert everything == 30_000
+    read, own = scanned(table.lookup(spark.createDataFrame([("A7", "B"), ("A8", "B")], PAIRS), 3))
+    assert 0 < read < everything / 10 and own < files
+
+
+def test_absent_pairs_are_answered_by_bloom_filters(spark, table):
+    """Between the least and largest pair of row groups, yet in none."""
+    read, _ = scanned(table.lookup(spark.createDataFrame([("A7X", "B")], PAIRS), 3))
+    assert read == 0
+
+
+def test_more_pairs_prune_folders_while_running(spark, table):
+    asked = spark.createDataFrame([("HOT", "PAIR"), ("A7", "B")], PAIRS)
+    joined = type(table)(spark, table.path, table.buckets, few=0).lookup(asked, 3)
+    assert "dynamicpruning" in joined._jdf.queryExecution().toString()
+    read, files = scanned(joined)
+    assert read < 30_000 and files < scanned(table.rows)[1]
+
+
+def test_a_hot_pair_is_in_several_files(spark, ranked, table):
+    files = table.rows.where("w1 = 'HOT'").select(F.input_file_name()).distinct().count()
+    assert files > 1

@@ -1,5 +1,9 @@
+import pytest
 from tables import rows
 
+from wordloom import job
+from wordloom.plans.next_words import NextWordTable
+from wordloom.plans.stop_list import remove_stop_words
 from wordloom.operators.stopwords import without_stop_words
 
 
@@ -16,3 +20,44 @@ def test_any_position_counts(frame):
     stop = frame([("THE",), ("OF",), ("THE",)], "word STRING")
     assert rows(without_stop_words(counts, stop)) == [("A", "B", "C", 1, 2)]
     assert without_stop_words(counts, stop.where("false")).count() == 4
+
+
+COUNTS = "w1 string, w2 string, w3 string, r1 long, r2 long"
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    """A word in a third of the trigrams; words in both cases."""
+    made = [("the" if i % 3 == 0 else f"a{i % 50}", f"B{i}", f"c{i % 7}", i, 1) for i in range(900)]
+    return spark.createDataFrame(made, COUNTS)
+
+
+@pytest.mark.parametrize("stop", [["THE"], ["the", "C3"], ["a1", "A2", "b5", "b6", "zzz"], ["c0", "c1", "the", "b1", "a4", "x"], []])
+@pytest.mark.parametrize("max_rows", [1, 2, 4, 1000])
+def test_any_plan_takes_out_the_same(spark, counts, stop, max_rows):
+    listed = spark.createDataFrame([(w,) for w in stop], "word string")
+    upper = {w.upper() for w in stop}
+    expected = [tuple(r) for r in counts.collect() if not upper & {r.w1.upper(), r.w2.upper(), r.w3.upper()}]
+    assert rows(remove_stop_words(counts, listed, max_rows=max_rows)) == sorted(expected, key=repr)
+
+
+def test_a_hot_word_is_not_shuffled(spark, counts):
+    """The list is not broadcast, and one word is in a third of the trigrams."""
+    listed = spark.createDataFrame([("the",), ("b1",), ("b2",), ("b3",)], "word string")
+    left = remove_stop_words(counts, listed, max_rows=2)
+    hot, others = [], []
+    for part in left._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti")[1:]:
+        (hot if "broadcast" in part.splitlines()[0] else others).append(part)
+    # The trigrams left by the hot words are read twice: to find the others, and to take them out.
+    assert len(hot) == 6 and len(others) == 1
+
+
+def test_lower_case_words_of_the_job(spark, tmp_path):
+    (tmp_path / "lines.txt").write_text("the b c\t2000\t3\nx y z\t2000\t2\n")
+    (tmp_path / "stop.txt").write_text("the\n")
+    out = str(tmp_path / "out")
+    argv = [str(tmp_path / "lines.txt"), out, "--input-format", "text", "--word", "[a-z]+", "--stop-words", str(tmp_path / "stop.txt"), "--lookup", str(tmp_path / "lookup")]
+    job.run(spark, job.arguments(argv))
+    assert [r.value.split("\t")[0] for r in spark.read.text(out).collect()] == ["x y z"]
+    found = NextWordTable(spark, str(tmp_path / "lookup")).lookup(spark.createDataFrame([("x", "y")], "w1 string, w2 string"), 1)
+    assert [r.w3 for r in found.collect()] == ["z"]

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from wordloom.functions.ngrams import WORD
 from wordloom.operators.counts import count_trigrams
 from wordloom.operators.parse import check_lines, split_corpus
-from wordloom.operators.stopwords import read_stop_words, without_stop_words
+from wordloom.operators.stopwords import read_stop_words
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
-from wordloom.plans.staging import broadcast_if_small, free, new_path, stage
+from wordloom.plans.next_words import write_next_words
+from wordloom.plans.staging import free, new_path, stage
+from wordloom.plans.stop_list import remove_stop_words
 from wordloom.sinks.text import key_value_lines, table_lines, write_lines
 from wordloom.sources.documents import read_documents
 from wordloom.sources.lines import READERS
@@ -30,6 +32,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--rejects", help="folder for the lines that are not n-gram lines")
     parser.add_argument("--stop-words", help="text of words; trigrams with one are left out")
     parser.add_argument("--top", type=int, help="only so many third words of every pair")
+    parser.add_argument("--lookup", help="folder for the table laid out for lookups of word pairs")
     parser.add_argument("--counts", help="folder for the trigram counts (Parquet)")
     parser.add_argument("--statistics", help="folder for the frequency statistics (Parquet)")
     args = parser.parse_args(argv)
@@ -66,13 +69,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     folder = new_path(spark, "job")
     counts, report = counted(spark, args, folder)
     if args.stop_words:
-        stop = read_stop_words(spark, args.stop_words)
-        counts = without_stop_words(counts, broadcast_if_small(stop))
+        counts = remove_stop_words(counts, read_stop_words(spark, args.stop_words), below=folder)
     kb = KnowledgeBase(counts).build()
     if args.counts:
         kb.counts.write.parquet(args.counts)
     if args.statistics:
         kb.stats.write.parquet(args.statistics)
+    if args.lookup:
+        write_next_words(kb.ranked, args.lookup)
     if args.top:
         table = kb.next_words(args.top).orderBy("w1", "w2", "pos")
         lines = key_value_lines(table, ["w1", "w2", "w3"], ["p", "pos"])

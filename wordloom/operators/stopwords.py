@@ -1,10 +1,15 @@
-"""Optional removal of trigrams that contain a stop word."""
+"""Optional removal of trigrams that contain a stop word.
+
+Words are compared in upper case on both sides, so a list fits whatever ``--word`` lets through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+WORDS = ("w1", "w2", "w3")
+
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     """``word``: the words of text files, upper-cased, each once, one or more to a line."""
@@ -15,11 +20,28 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
 def without_stop_words(counts: DataFrame, stop_words: DataFrame) -> DataFrame:
     """``counts`` without trigrams of which any word is in ``stop_words(word)``.
 
-    Pass the list through :func:`wordloom.plans.staging.broadcast_if_small` to keep the
-    trigrams from being shuffled; without a hint Spark chooses the join. A list too long to be
-    broadcast (a million words) makes three shuffled joins on single words, where only
-    adaptive execution splits a word as frequent as "THE".
+    Three anti joins in one pass if ``stop_words`` is broadcast, which is for the caller to decide;
+    :func:`wordloom.plans.stop_list.remove_stop_words` does, and has a plan for long lists.
     """
-    for w in ("w1", "w2", "w3"):
-        counts = counts.join(stop_words, counts[w] == stop_words["word"], "left_anti")
+    stop_words = stop_words.select(F.upper("word").alias("word")).distinct()
+    for w in WORDS:
+        counts = counts.join(stop_words, F.upper(counts[w]) == stop_words["word"], "left_anti")
     return counts
+
+
+def words_in_use(counts: DataFrame) -> DataFrame:
+    """``word, trigrams``: the words of ``counts`` in upper case, with the number of trigrams each
+    is in. Words are few beside trigrams, and counted in every map task first."""
+    own = F.array_distinct(F.array(*[F.upper(w) for w in WORDS]))
+    return counts.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("trigrams"))
+
+
+def without_listed(counts: DataFrame, listed: DataFrame) -> DataFrame:
+    """As :func:`without_stop_words`, for a list that is not broadcast: one row per trigram and
+    word meets the list once, and the trigrams found are taken out by one join on all their words.
+
+    No word of ``listed(word)`` may be in a large share of the trigrams.
+    """
+    own = F.array_distinct(F.array(*[F.upper(w) for w in WORDS]))
+    found = counts.select(*WORDS, F.explode(own).alias("word")).join(listed, "word", "left_semi")
+    return counts.join(found.select(*WORDS).distinct(), list(WORDS), "left_anti")
