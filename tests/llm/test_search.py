@@ -1,6 +1,7 @@
 """Nearest neighbours and decontamination against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -171,7 +172,7 @@ def test_latent_space_is_the_singular_subspace(documents):
             x[own[lo : lo + dc.PASSAGE]] = 1
             a.append(x)
     a = np.array(a)
-    weights = np.log((1 + len(a)) / (1 + a.sum(axis=0)))
+    weights = np.log1p(len(a) / (1 + a.sum(axis=0)))
     assert np.allclose(weights, space.weights)
     tf_idf = a * weights
     tf_idf /= np.linalg.norm(tf_idf, axis=1, keepdims=True)
@@ -194,3 +195,63 @@ def test_nasty_documents(spark, nasty):
     benchmark = spark.createDataFrame([(1, "lorem ipsum dolor sit amet " * 5), (None, "the cat")], "item_id long, text string")
     found = dc.contaminated(nasty, benchmark).collect()
     assert {r.doc_id for r in found} <= {4, 12, None} and (12, 1) in {(r.doc_id, r.item_id) for r in found}
+
+
+def every_passage_and_item(docs, items):
+    """(doc_id, item_id): leaks by the longest common subsequence of every passage's surroundings
+    with every item; only bags of words that are too small are passed over, which is exact."""
+    found = set()
+    for doc_id, text in docs:
+        words = dc.word_hashes((text or "").encode()).tolist()
+        passages = [words[i : i + dc.PASSAGE] for i in range(0, len(words), dc.PASSAGE)]
+        for item_id, item in items:
+            own = dc.word_hashes(item.encode()).tolist()
+            sentences = [dc.word_hashes(s.encode()).tolist() for s in re.split(r"[.!?\n]+", item)]
+            answer = ([s for s in sentences if len(s) >= dc.ANSWER] or [[]])[-1]
+            reach, mask = max(1, -(-len(own) // dc.PASSAGE)), {}
+            for i, word in enumerate(own):
+                mask[word] = mask.get(word, 0) | 1 << i
+            for p in range(len(passages)):
+                around = [w for x in passages[max(0, p - reach) : p + reach + 2] for w in x]
+                if sum(w in mask for w in around) < dc.PARAPHRASED * len(own):
+                    continue
+                common = dc.common_length(mask, len(own), around) / len(own)
+                if common >= dc.COMMON or (common >= dc.PARAPHRASED and dc.holds(around, answer)):
+                    found.add((doc_id, item_id))
+    return found
+
+
+def test_whole_query_against_every_passage_and_item(spark):
+    sf = "/root/testdata/sf0.001"
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for n, (_, text) in enumerate(items[:30]):  # every fourth word of an item goes, in a text of another
+        words = text.split()
+        left = " ".join(w for i, w in enumerate(words) if i % 4 or i > len(words) * 0.6)
+        rows.append((10_000 + n, f"{rows[n][1][:300]} {left} {rows[n + 1][1][:300]}"))
+    found = dc.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    expected = every_passage_and_item(rows, items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+    assert sum(d >= 10_000 for d, _ in expected) >= 20 and any(d < 10_000 for d, _ in expected)
+
+
+def test_a_paraphrase_in_a_table_of_one_vocabulary(spark, documents):
+    """Every word is in every passage."""
+    words = [f"w{i}" for i in range(dc.PASSAGE)]
+    draw = np.random.default_rng(5)
+    rows = [(i, " ".join(draw.permutation(words))) for i in range(30)]
+    item = " ".join(draw.permutation(words))
+    rows.append((99, " ".join(w for i, w in enumerate(item.split()) if i % 4)))
+    found = dc.contaminated(documents(rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == every_passage_and_item(rows, [(1, item)]) == {(99, 1)}
+
+
+def test_sums_of_runs():
+    draw = np.random.default_rng(1)
+    for sizes in ([1], [3, 1, 500, 2], draw.integers(1, 9, 300).tolist()):
+        n = sum(sizes)
+        row, weight, y = draw.integers(0, 50, n), draw.random(n), draw.random((50, 3))
+        first = np.cumsum([0, *sizes[:-1]])
+        expected = [sum(weight[i] * y[row[i]] for i in range(a, a + s)) for a, s in zip(first, sizes)]
+        assert np.allclose(dc.sums_of_runs(first, row, weight, y), expected)

@@ -51,10 +51,12 @@ RANK, EXTRA = 64, 16
 COSINE = 0.36
 COMMON, PARAPHRASED, ANSWER = 0.6, 0.5, 3
 RUN = 8
-ITEMS_AT_ONCE = 20_000
+ITEMS_AT_ONCE = 2_000
 WORDS_AT_ONCE = 1 << 16
 # Up to so many passages, an item's candidates are checked for its words all at once.
 FEW_PASSAGES = 4
+PASSAGES_AT_ONCE = 1 << 14
+FEW_RUNS = 64
 ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 HITS = "doc_id long, item_id long, cosine double, common double, answer boolean"
 
@@ -189,6 +191,30 @@ def passage_weights(lot: Lot, weights: np.ndarray) -> np.ndarray:
     return unit_rows(np.where(lot.used, weights[lot.features], 0)).astype(np.float32)
 
 
+def sums_of_runs(first: np.ndarray, row: np.ndarray, weight: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sums of ``weight[i] * y[row[i]]`` over each run ``first[j] <= i < first[j + 1]``.
+
+    Long runs are one product each; the others are added up side by side, an element of each at
+    a time, the longest first, so that those not at their end are always the first ones.
+    """
+    size = np.diff(first, append=len(row))
+    order = np.argsort(-size, kind="stable")
+    size, start = size[order], first[order]
+    total = np.zeros((len(first), y.shape[1]), y.dtype)
+    done, left = 0, len(first)
+    while left > FEW_RUNS:
+        at = start[:left] + done
+        total[:left] += y[row[at]] * weight[at][:, None]
+        done += 1
+        left = int(np.searchsorted(-size, -done))
+    for i in range(left):
+        rest = slice(start[i] + done, start[i] + size[i])
+        total[i] += weight[rest] @ y[row[rest]]
+    back = np.empty_like(total)
+    back[order] = total
+    return back
+
+
 def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: int = 3) -> LatentSpace:
     """The randomised SVD of all passages of ``words``."""
 
@@ -197,7 +223,8 @@ def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: i
         total[FEATURES, 0] += len(lot.words)
 
     counted = added_up(words, frequencies, (FEATURES + 1, 1))[:, 0]
-    weights = np.log((1 + counted[FEATURES]) / (1 + counted[:FEATURES]))
+    # Positive even for a word of every passage, so that no table is without weights.
+    weights = np.log1p(counted[FEATURES] / (1 + counted[:FEATURES]))
     size = rank + extra
     probe = np.random.default_rng(seed).standard_normal((FEATURES, size)).astype(np.float32)
     context = words.sparkSession.sparkContext
@@ -214,7 +241,7 @@ def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: i
         order = np.argsort(feature.astype(np.uint16), kind="stable")
         passage, at, feature = passage[order], at[order], feature[order]
         first = np.flatnonzero(np.concatenate([[True], feature[1:] != feature[:-1]]))
-        total[feature[first]] += np.add.reduceat(y[passage] * tf_idf[passage, at][:, None], first)
+        total[feature[first]] += sums_of_runs(first, passage, tf_idf[passage, at], y)
 
     basis, _ = np.linalg.qr(added_up(words, reach, (FEATURES, size)))
     narrow = context.broadcast(basis.astype(np.float32))
@@ -225,7 +252,10 @@ def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: i
 
     values, vectors = np.linalg.eigh(added_up(words, gram, (size, size)))
     top = np.argsort(values)[::-1][:rank]
-    top = top[values[top] > 1e-9 * max(values.max(), 1e-12)]
+    # Scaling would blow up what is less than half a passage in the whole corpus: the difference
+    # of one paraphrase from everything else, where all texts have the same words.
+    top = top[values[top] >= min(0.5, values.max())]
+    top = top[values[top] > 1e-12]
     places = basis @ (vectors[:, top] / np.sqrt(values[top]))
     return LatentSpace(weights, (weights[:, None] * places).astype(np.float32))
 
@@ -244,6 +274,7 @@ class Items:
     sizes: np.ndarray
     reach: np.ndarray  # the passages that each item fills
     masks: list[dict[int, int]]
+    has: np.ndarray  # which features each item has
     runs: list[tuple[int, np.ndarray, np.ndarray]]  # length; sorted hashes, the item of each
 
 
@@ -260,15 +291,16 @@ def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace)
             vectors.append(space.places[np.unique(part % FEATURES)].sum(axis=0))
             filled.append(min(1, len(part) / PASSAGE))
             owner.append(len(words) - 1)
-    masks = []
-    for own in words:
+    masks, has = [], np.zeros((len(words), FEATURES), bool)
+    for k, own in enumerate(words):
+        has[k, own % FEATURES] = True
         mask: dict[int, int] = {}
         for i, word in enumerate(own.tolist()):
             mask[word] = mask.get(word, 0) | 1 << i
         masks.append(mask)
     bounds = np.where(np.array(filled) > 0, COSINE * np.sqrt(filled), 2)
     sizes = np.array([len(own) for own in words], np.int64)
-    vectors = unit_rows(np.array(vectors).reshape(len(owner), -1))
+    vectors = unit_rows(np.array(vectors).reshape(len(owner), -1)).astype(np.float32)
     reach = np.maximum(1, -(-sizes // PASSAGE))
     whose = np.array(owner, np.int64)
     whole = np.searchsorted(whose, np.arange(len(words)))
@@ -279,7 +311,7 @@ def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace)
         hashes, holder = np.concatenate(own), np.repeat(mine, [len(h) for h in own])
         order = np.argsort(hashes, kind="stable")
         runs.append((size, hashes[order], holder[order]))
-    return Items(ids, words, answers, vectors, bounds, whose, whole, sizes, reach, masks, runs)
+    return Items(ids, words, answers, vectors, bounds, whose, whole, sizes, reach, masks, has, runs)
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -320,24 +352,31 @@ def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.
 
     No common subsequence is longer than the number of the item's words that occur at all.
     """
-    present = np.zeros((len(lot.words) + 1, FEATURES + 1), bool)
+    present = np.zeros((len(lot.words), FEATURES), bool)
     row, at = np.nonzero(lot.used)
     present[row, lot.features[row, at]] = True
+    present = np.packbits(present, axis=1, bitorder="little")  # a bit per feature
     number = np.zeros(len(passage), np.int64)
     reaches = items.reach[item]
     for reach in np.unique(reaches[reaches <= FEW_PASSAGES]).tolist():
+        # What the passages around each one hold, in one text.
+        around = present.copy()
+        for step in [*range(-reach, 0), *range(1, reach + 2)]:
+            here = np.arange(max(0, -step), len(present) - max(0, step))
+            here = here[lot.owner[here] == lot.owner[here + step]]
+            around[here] |= present[here + step]
         which = np.flatnonzero(reaches == reach)
         kinds, nth = np.unique(item[which], return_inverse=True)
-        # Filled up with a feature that is never there.
-        features = np.full((len(kinds), reach * PASSAGE), FEATURES)
-        for own, k in zip(features, kinds.tolist()):
+        features = np.zeros((len(kinds), reach * PASSAGE), np.int64)
+        real = np.zeros(features.shape, bool)
+        for own, there, k in zip(features, real, kinds.tolist()):
             own[: items.sizes[k]] = items.words[k] % FEATURES
-        held = np.zeros((len(which), reach * PASSAGE), bool)
-        for step in range(-reach, reach + 2):
-            near = np.clip(passage[which] + step, 0, len(lot.words) - 1)
-            near = np.where(lot.owner[near] == lot.owner[passage[which]], near, len(lot.words))
-            held |= present[near[:, None], features[nth]]
-        number[which] = held.sum(axis=1)
+            there[: items.sizes[k]] = True
+        for lo in range(0, len(which), PASSAGES_AT_ONCE):
+            some = slice(lo, lo + PASSAGES_AT_ONCE)
+            wanted = features[nth[some]]
+            held = around[passage[which[some]][:, None], wanted >> 3] >> (wanted & 7).astype(np.uint8) & 1
+            number[which[some]] = (held.astype(bool) & real[nth[some]]).sum(axis=1)
     for i in np.flatnonzero(reaches > FEW_PASSAGES).tolist():
         rows = stretch(lot, int(passage[i]), int(reaches[i]))
         there = np.zeros(FEATURES, bool)
@@ -385,18 +424,22 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items) -> DataFrame:
                 own_score = cosine[begins, items.whole[whose]]
                 passage, item = np.concatenate([passage, begins]), np.concatenate([item, whose])
                 score = np.concatenate([score, own_score])
-                met, nth = np.unique(np.stack([passage, item], axis=1), axis=0, return_inverse=True)
+                met, nth = np.unique(passage * len(items.words) + item, return_inverse=True)
                 highest = np.full(len(met), -1.0)
-                np.maximum.at(highest, nth.ravel(), score)
-                passage, item = met[:, 0], met[:, 1]
+                np.maximum.at(highest, nth, score)
+                passage, item = np.divmod(met, max(1, len(items.words)))
                 use = likely(lot, items, passage, item)
                 for p, k, c in zip(passage[use].tolist(), item[use].tolist(), highest[use].tolist()):
-                    around = lot.words[stretch(lot, p, int(items.reach[k]))].ravel().tolist()
+                    rows = stretch(lot, p, int(items.reach[k]))
                     size = len(items.words[k])
-                    common = common_length(items.masks[k], size, around) / size
+                    # Other words than the item's are in no common subsequence.
+                    own = lot.words[rows][items.has[k, lot.features[rows]]]
+                    if len(own) < PARAPHRASED * size:
+                        continue
+                    common = common_length(items.masks[k], size, own.tolist()) / size
                     if common < PARAPHRASED:
                         continue
-                    answer = holds(around, items.answers[k].tolist())
+                    answer = holds(lot.words[rows].ravel().tolist(), items.answers[k].tolist())
                     if common >= COMMON or answer:
                         key, found = (int(lot.owner[p]), k), (common, answer, c)
                         best[key] = max(best.get(key, found), found)

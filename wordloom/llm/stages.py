@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import stage, table
 from wordloom.llm.decontamination import contaminated
 from wordloom.llm.packing import pack_documents
-from wordloom.llm.similarity import similar_documents
+from wordloom.llm.simhash import near_duplicates
 from wordloom.llm.suffix_dedup import remove_repeats
 from wordloom.llm.toxicity import train, without_toxic
 
-# Up to four bits keep lists of four positional bytes selective. Fingerprints of copies with a
-# similarity of 0.8 differ in more bits as a rule; lists of shingles find those.
-NEAR_BITS = 4
+# The contract of SimHash near-duplicates: words in a shingle, bits that may differ.
+NEAR_WORDS, NEAR_BITS = 3, 2
 
 
 def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -35,11 +34,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays.
-
-    Documents are near-duplicates if their five-word similarity is 0.8 or more.
-    """
-    groups = similar_documents(docs, NEAR_BITS)
+    """Of each group of documents linked by their fingerprints the one with the smallest id stays."""
+    groups = near_duplicates(docs, NEAR_WORDS, NEAR_BITS)
     return without(docs, groups.where("doc_id <> component_id").select("doc_id"), "near_copies")
 
 
