@@ -56,6 +56,21 @@ def test_everything_is_found_with_the_whole_share(spark):
         assert [found[q][n] for n in range(1, 6)] == [v for v, _ in best]
 
 
+def test_an_id_with_several_vectors_and_multiples_of_one(spark):
+    """Every row by itself against all others, ties by id; found among all, so nothing is left out."""
+    rows = [(1, [10.0, 1.0]), (5, [10.0, 1.0]), (1, [1.0, 2.0]), (7, [1.0, 2.0]), (50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [1.0, 0.0])]
+    rows += [(i, [30.0 * i, 3.0 * i]) for i in (2, 3, 4, 6, 8, 9)]
+    found = nearest(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0, k=6, share=40.0)
+    own = sorted({(i, tuple(v)) for i, v in rows})
+    expected = []
+    for q, x in own:
+        if q == 50:
+            others = [(round(np.dot(x, v) / np.linalg.norm(x) / np.linalg.norm(v), 9), i) for i, v in own if (i, v) != (q, x)]
+            order = sorted(others, key=lambda t: (-t[0], t[1]))[:6]
+            expected += [(q, n + 1, i, c) for n, (c, i) in enumerate(order)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in found.collect()) == sorted(expected)
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [

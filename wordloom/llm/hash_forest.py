@@ -1,17 +1,18 @@
 """Approximate nearest neighbours by cosine with a forest of hash prefixes.
 
-Each tree gives every vector a hash string of 64 signs of random projections; the strings of
-a tree, sorted, are its array, and the vectors that share a prefix with a query are a range
-of it. A query descends to its longest matches and ascends one bit at a time, in all trees at
-once, until the ranges of all trees together hold ``share`` of the vectors. How many a prefix
-holds comes from the counts of the ranges at the greatest depth D of interest, a table of at
-most ``trees * 2**D`` entries; D follows from ``share`` and ``trees`` alone.
+Each tree gives every vector a hash string of signs of random projections, and the vectors that
+share a prefix with a query are a range of the tree. A query starts at the longest prefixes that
+can matter and ascends one bit at a time, in all trees at once, until the ranges of all trees
+together hold ``share`` of the vectors. Strings are worked out to the depth D of these prefixes only
+(five bits with the defaults), and ranges are cells of D bits, not places in a sorted array: how many
+vectors a prefix holds comes from the cells' counts, a table of at most ``trees * 2**D`` entries; D
+follows from ``share`` and ``trees`` alone.
 
 For the search every tree's array is dealt out by range, large ranges in blocks of
 ``BLOCK`` vectors, and a query goes to the ranges below its prefix only. The members of a
 block are scored with one matrix product. Nothing is dropped from a range or block.
 
-Equal vectors are searched once. Only the ``k + 1`` smallest ids of each distinct vector
+Equal vectors are searched once, under a number of their own: one id may have several vectors. Only the ``k + 1`` smallest ids of each distinct vector
 can be among anybody's ``k`` nearest, so no more of them are kept as answers; all of them are
 queries if their ids say so.
 
@@ -21,7 +22,10 @@ dimensions; on clustered vectors a smaller one does.
 
 Defined results: vectors null, zero, or with a null or non-finite component take no part,
 neither do vectors of another length than most have (of several such lengths, the greatest);
-repeated rows of one id count once; ties go to the smaller id; fewer than ``k`` candidates
+repeated rows of one id and vector count once; an id with several vectors has a row for each, and
+each asks by itself if the id is a query's, its own row left out; cosines that agree in
+``TIE_DIGITS`` decimals, as those of multiples of a vector do, are ties, and go to the smaller id;
+fewer than ``k`` candidates
 give fewer rows; an empty table gives none; other columns are not used.
 """
 
@@ -41,6 +45,7 @@ BITS = 64
 BLOCK = 4096
 QUERY_BLOCK = 1024
 MAX_DEPTH = 20
+TIE_DIGITS = 12
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -118,10 +123,10 @@ def nearest(
     spark = vectors.sparkSession
     prepare(spark)
     rows = stage(usable(vectors), "vectors")
-    groups = stage(
-        rows.groupBy("embedding").agg(F.min("vec_id").alias("gid")).select("gid", "embedding"),
-        "groups",
-    )
+    # Numbered in the order of their smallest ids, which settles ties; written once, so the numbers stay.
+    groups = rows.groupBy("embedding").agg(F.min("vec_id").alias("first"))
+    groups = groups.orderBy("first", F.xxhash64("embedding"))
+    groups = stage(groups.select(F.monotonically_increasing_id().alias("gid"), "embedding"), "groups")
     members = rows.join(groups, "embedding").select("gid", "vec_id", is_query.alias("is_query"))
     members = stage(members.distinct(), "members")
     first = Window.partitionBy("gid").orderBy("vec_id")
@@ -204,7 +209,7 @@ def nearest(
             p, gids = p[order], gids[order]
             for lo in range(0, len(q), QUERY_BLOCK):
                 cosine = q[lo : lo + QUERY_BLOCK] @ p.T
-                best = np.argsort(-cosine, axis=1, kind="stable")[:, : k + 1]
+                best = np.argsort(-cosine.round(TIE_DIGITS), axis=1, kind="stable")[:, : k + 1]
                 found[0].append(np.repeat(qids[lo : lo + QUERY_BLOCK], best.shape[1]))
                 found[1].append(gids[best].ravel())
                 found[2].append(np.take_along_axis(cosine, best, axis=1).ravel())
@@ -222,17 +227,18 @@ def nearest(
         .groupBy("qid", "gid")
         .agg(F.max("score").alias("score"))
     )
-    best = Window.partitionBy("qid").orderBy(F.desc("score"), "gid")
+    nearer = F.desc(F.round("score", TIE_DIGITS))
+    best = Window.partitionBy("qid").orderBy(nearer, "gid")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
     found = stage(found.select("qid", "gid", "score"), "found")
-    order = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("qid").orderBy(nearer, "vec_id", "gid")
     found = found.join(answers, "gid").withColumn("n", F.row_number().over(order))
-    found = stage(found.where(F.col("n") <= k + 1).select("qid", "vec_id", "score"), "found_ids")
+    found = stage(found.where(F.col("n") <= k + 1).select("qid", "gid", "vec_id", "score"), "found_ids")
     queries = members.where("is_query").select(F.col("gid").alias("qid"), F.col("vec_id").alias("query_id"))
-    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    last = Window.partitionBy("query_id", "qid").orderBy(nearer, "vec_id", "gid")
     return (
         queries.join(found, "qid")
-        .where(F.col("vec_id") != F.col("query_id"))
+        .where((F.col("vec_id") != F.col("query_id")) | (F.col("gid") != F.col("qid")))
         .withColumn("rank", F.row_number().over(last))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
