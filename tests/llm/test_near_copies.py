@@ -6,9 +6,10 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from wordloom.llm.simhash import near_duplicates
-from wordloom.llm.suffix_dedup import merged, remove_repeats
+from wordloom.llm.simhash import list_bytes, near_duplicates, near_links, split_bytes
+from wordloom.llm.suffix_dedup import bucket_pointers, merged, remove_repeats, window_buckets
 
 
 def reference_fingerprint(text, size):
@@ -72,6 +73,39 @@ def test_chains_of_near_copies(documents, distance):
     assert 1 < len({c for _, _, c in expected}) < len(rows)
 
 
+@pytest.mark.parametrize("distance", range(1, 8))
+def test_every_near_pair_meets_in_a_list(distance):
+    rng = random.Random(distance)
+    kinds = list_bytes(distance)
+    for _ in range(300):
+        flips = {rng.randrange(64) // 8 for _ in range(distance)}
+        met = [taken for taken in kinds if not flips & set(taken)]
+        assert met
+        assert any(not flips & set(more) for more in split_bytes(met[0], distance))
+
+
+def test_two_bits_take_six_lists():
+    assert len(list_bytes(2)) == 6 and all(len(taken) == 4 for taken in list_bytes(2))
+    assert {len(taken) for taken in split_bytes(list_bytes(2)[0], 2)} == {6}
+
+
+@pytest.mark.parametrize("large", [3, 10_000])
+def test_large_lists_are_split_without_losing_links(spark, large):
+    rng = random.Random(large)
+    fps = {rng.randrange(16) << 40 | rng.getrandbits(6) for _ in range(150)}
+    fps |= {f ^ 1 << rng.randrange(64) for f in sorted(fps)[:60]}
+    fps = sorted({f - 2**64 if f >> 63 else f for f in fps})
+    rows = near_links(spark.createDataFrame([(f,) for f in fps], "fp long"), 2, large).collect()
+    assert all(0 < ((r.a ^ r.b) % 2**64).bit_count() <= 2 for r in rows)
+    group = {f: f for f in fps}
+    for r in rows:
+        old, new = group[r.a], group[r.b]
+        group = {f: new if g == old else g for f, g in group.items()}
+    found = [group[f] for f in fps]
+    expected = components([f % 2**64 for f in fps], 2)
+    assert len(set(found)) == len(set(expected)) == len(set(zip(found, expected))) < len(fps)
+
+
 def reference_removal(rows, length):
     """Removed positions of each text, by all strings of the given length."""
     first = {}
@@ -129,6 +163,49 @@ def test_removal_of_overlapping_passages(documents, length, hot):
     assert removal(documents(rows), length, hot=hot) == expected
 
 
+@pytest.mark.parametrize("length", [17, 32, 50])
+def test_pointers_bring_equal_strings_together(length):
+    rng = random.Random(length)
+    for letters in (1, 2, 26):
+        parts = [bytes(rng.randrange(letters) for _ in range(rng.randrange(1, 90))) for _ in range(5)]
+        text = b"".join(rng.choice(parts) for _ in range(25)) + bytes(length)
+        starts = np.arange(len(text) - length + 1)
+        ids = window_buckets(np.frombuffer(text, np.uint8), starts, length)
+        windows = [text[i : i + length] for i in starts]
+        assert len(set(zip(ids.tolist(), windows))) == len(set(ids.tolist())) == len(set(windows))
+
+
+def test_refinement_sorts_less_than_doubling_on_repetitive_text():
+    """Doubling sorts every position at 8, 16, 32 and 50 bytes. Updates reused save work: small
+    lots, which see more of them, sort less than one lot of everything."""
+    rng = random.Random(5)
+    parts = [bytes(rng.randrange(97, 123) for _ in range(300)) for _ in range(40)]
+    data = np.frombuffer(b"".join(rng.choice(parts) for _ in range(200)), np.uint8)
+    work = [bucket_pointers(data, 50, at_once)[2] for at_once in (1024, len(data) + 1)]
+    assert work[0] < work[1] < 4 * len(data)
+    plain = np.frombuffer(bytes(rng.randrange(256) for _ in range(20_000)), np.uint8)
+    assert bucket_pointers(plain, 50)[2] < 1.1 * len(plain)
+
+
+def test_rows_without_an_id_are_dealt_to_several_chunks(documents, spark):
+    from wordloom.llm import suffix_dedup
+
+    rng = random.Random(3)
+    same = "".join(rng.choice("abcdefgh") for _ in range(90))
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"{i:03d}{same[i % 20:]}") for i in range(120)]
+    sizes = []
+    original = suffix_dedup.minimizer_counts
+    try:
+        suffix_dedup.minimizer_counts = lambda rows, *more: sizes.extend(
+            r.n for r in rows.where("doc is null").groupBy("chunk").agg(F.count("*").alias("n")).collect()
+        ) or original(rows, *more)
+        assert removal(documents(rows), 50) == reference_removal(rows, 50)
+    finally:
+        suffix_dedup.minimizer_counts = original
+    assert len(sizes) > 1 and sum(sizes) == 40
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
 def test_long_texts_are_cut_into_overlapping_blocks(documents, monkeypatch):
     from wordloom.llm import suffix_dedup
 

@@ -2,11 +2,12 @@
 
 A byte goes if it is covered by a string of ``length`` bytes that also starts in a document
 with a smaller id. The strings ("windows") are grouped by a suffix sort cut off at ``length``:
-positions are first put in buckets by q-grams; a bucket is refined by sorting on the bucket
-identifiers of a later offset, which at that time stand for strings as long as the bucket's
-own, so that each refinement doubles the depth (8, 16, 32 bytes), the last one overlapping to
-reach ``length``. The least document id in a final bucket keeps its windows; all other
-documents in it lose theirs. Comparison is exact; hashes only decide what is compared where.
+positions are first put in buckets by 8-grams; a bucket is refined by sorting on the bucket
+identifiers of a later offset, which are written back at once, so that buckets refined later
+sort by finer ones, and a bucket that refers to itself doubles its depth. Buckets of one
+position are left alone, and so are those that agree on ``length`` bytes. Equal windows are
+then neighbours; of these the least document id keeps its windows, and all other documents
+lose theirs. Comparison is exact; hashes only decide what is compared where.
 
 What has to be sorted is found first, in three passes over the texts, which are written once
 in chunks that later passes read without moving them:
@@ -51,6 +52,8 @@ LONGEST_RUN = 4096
 HOT = 100_000
 NO_ID = np.iinfo(np.int64).max
 WINDOWS_AT_ONCE = 150_000
+GRAM_BYTES = 8  # of the first buckets
+REFINED_AT_ONCE = 1 << 16
 _PAIR = np.dtype([("h", "<u8"), ("d", "<i8")])  # a minimizer and a document
 
 
@@ -130,23 +133,80 @@ def runs(data: np.ndarray, segments: np.ndarray, length: int):
     return first, many, least[first], np.searchsorted(start, first, "right") - 1
 
 
-def refine(x: np.ndarray, later: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bucket identifiers of pairs (own bucket, bucket of the later offset)."""
-    _, ids = np.unique(x * np.uint64(1 << 32) + later, return_inverse=True)
-    return ids.astype(np.uint64), int(ids.max(initial=0)) + 1
+def refine(members: np.ndarray, pointer: np.ndarray, deep: np.ndarray, length: int) -> int:
+    """Refine the buckets of ``members``, given bucket by bucket, until each holds one position
+    or positions that agree on ``length`` bytes. Returns how many positions were sorted.
+
+    A bucket whose positions agree on ``deep`` bytes is sorted by the pointers that many bytes
+    later. Sub-buckets then agree on those bytes and on what the later bucket agrees on, which is
+    more than a q-gram where that one has been refined before.
+    """
+    work = 0
+    while len(members):
+        work += len(members)
+        later = members + deep[members]
+        key = (pointer[members] << 32) | pointer[later]
+        order = np.argsort(key)
+        key, members, later = key[order], members[order], later[order]
+        own = key >> 32
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(begin, len(key)))
+        at = np.arange(len(key))
+        parent = np.maximum.accumulate(np.where(np.concatenate([[True], own[1:] != own[:-1]]), at, 0))
+        alone = np.repeat(size == 1, size)
+        depth = np.where(alone, length, deep[members] + deep[later])
+        pointer[members] = own + np.repeat(begin, size) - parent
+        deep[members] = depth
+        members = members[depth < length]
+    return work
+
+
+def bucket_pointers(
+    data: np.ndarray, length: int, at_once: int = REFINED_AT_ONCE
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pointers of all positions, their q-grams, and how many positions were sorted.
+
+    A pointer is the place of a bucket's first position in suffix order, counted from 1; 0 is
+    what lies behind the end. Buckets are refined some at a time, in order, and write their
+    pointers back at once, so that later ones sort by them.
+    """
+    n = len(data)
+    padded = np.zeros(n + GRAM_BYTES, np.uint8)
+    padded[:n] = data
+    grams = np.ndarray((n,), ">u8", padded, 0, (1,)).astype("<u8")
+    order = np.argsort(grams)
+    ordered = grams[order]
+    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    size = np.diff(np.append(begin, n))
+    pointer = np.zeros(n + length, np.int64)
+    pointer[order] = np.repeat(begin, size) + 1
+    deep = np.full(n + length, length, np.int64)
+    members = order[np.repeat(size > 1, size)]
+    deep[members] = GRAM_BYTES
+    ends = np.cumsum(size[size > 1])
+    lot = (ends - 1) // at_once
+    work, lo = n, 0
+    for hi in ends[np.flatnonzero(np.append(lot[1:] != lot[:-1], len(lot) > 0))].tolist():
+        work += refine(members[lo:hi], pointer, deep, length)
+        lo = hi
+    return pointer, grams, work
 
 
 def window_buckets(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Equal identifiers for equal strings of ``length`` bytes at ``starts``."""
-    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
-    _, ids = np.unique(words, return_inverse=True)
-    ids, depth = ids.astype(np.uint64), 8
-    while 2 * depth <= length:
-        ids, _ = refine(ids[:-depth], ids[depth:])
-        depth *= 2
-    if depth == length:
-        return ids[starts]
-    return refine(ids[starts], ids[starts + (length - depth)])[0]
+    """Equal identifiers for equal strings of ``length`` bytes at ``starts``.
+
+    Pointers may tell positions apart by what comes after ``length`` bytes. Equal strings are
+    neighbours in suffix order all the same, and neighbours are compared.
+    """
+    pointer, grams, _ = bucket_pointers(data, length)
+    order = np.argsort(pointer[starts])
+    a, b = starts[order[:-1]], starts[order[1:]]
+    same = np.ones(len(a), bool)
+    for at in (*range(0, length - GRAM_BYTES, GRAM_BYTES), length - GRAM_BYTES):
+        same &= grams[a + at] == grams[b + at]
+    ids = np.zeros(len(starts), np.int64)
+    ids[order[1:]] = np.cumsum(~same)
+    return ids
 
 
 def covered(
@@ -159,7 +219,7 @@ def covered(
     windows = sizes - length + 1
     content = np.repeat(np.arange(len(contents)), windows)
     offset = np.arange(len(content)) - np.repeat(np.cumsum(windows) - windows, windows)
-    buckets = window_buckets(data, at[content] + offset, length).astype(np.int64)
+    buckets = window_buckets(data, at[content] + offset, length)
     least = np.full(int(buckets.max()) + 1, NO_ID)
     np.minimum.at(least, buckets, docs[content])
     gone = docs[content] > least[buckets]
@@ -431,9 +491,10 @@ def remove_repeats(
     bucket = F.pmod(F.hash("id"), F.lit(chunks))
     ids = spark.range(chunks * 24 + 64).groupBy(bucket.alias("b")).agg(F.min("id").alias("id"))
     keys = [r["id"] for r in ids.collect()]
-    nth = F.pmod(F.xxhash64("doc_id"), F.lit(len(keys))).cast("int")
     plain = [docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]
     data = text_bytes()
+    # By id and text, so that rows of one id, or of none, are dealt to all chunks.
+    nth = F.pmod(F.xxhash64("doc_id", "text"), F.lit(len(keys))).cast("int")
     rows = docs.select(
         F.element_at(F.array(*[F.lit(k).cast("long") for k in keys]), nth + 1).alias("chunk"),
         F.col("doc_id").cast("long").alias("doc"),
@@ -448,6 +509,7 @@ def remove_repeats(
         "path", path
     ).saveAsTable(name)
     rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only its name: the files are staged ones, and are read below
 
     alike = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("n"))
     alike = stage(alike.where("n > 1").select("digest", "least"), "alike")
