@@ -1,6 +1,7 @@
 """Sources, sinks, the shared folder and the job."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tables import GOLDEN_LINES, rows
 
@@ -30,14 +31,15 @@ GOLDEN_TEXT = [
 ]
 
 
-def hadoop_sequence_file(spark, path, pairs):
+def hadoop_sequence_file(spark, path, pairs, compression="NONE"):
     """Write (LongWritable, Text) records with Hadoop's own writer."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     io = jvm.org.apache.hadoop.io
-    options = gateway.new_array(io.SequenceFile.Writer.Option, 3)
+    options = gateway.new_array(io.SequenceFile.Writer.Option, 4)
     options[0] = io.SequenceFile.Writer.file(jvm.org.apache.hadoop.fs.Path(path))
     options[1] = io.SequenceFile.Writer.keyClass(jvm.java.lang.Class.forName("org.apache.hadoop.io.LongWritable"))
     options[2] = io.SequenceFile.Writer.valueClass(jvm.java.lang.Class.forName("org.apache.hadoop.io.Text"))
+    options[3] = io.SequenceFile.Writer.compression(io.SequenceFile.CompressionType.valueOf(compression))
     writer = io.SequenceFile.createWriter(spark.sparkContext._jsc.hadoopConfiguration(), options)
     for key, value in pairs:
         writer.append(io.LongWritable(key), io.Text(value))
@@ -52,6 +54,36 @@ def test_sequence_file_keeps_keys(spark, tmp_path):
     assert rows(lines) == sorted(pairs, key=repr)
 
 
+@pytest.mark.parametrize("compression", ["NONE", "RECORD", "BLOCK"])
+def test_sequence_files_are_split_at_sync_marks(spark, tmp_path, compression):
+    """Every record is read once, whatever the compression and however many splits a file has."""
+    pairs = [(i * 3 - 1000, f"W{i} X Y\t1990\t{i * 7919 % 10007}" + "z" * (i % 50)) for i in range(20000)]
+    hadoop_sequence_file(spark, str(tmp_path / "in/part-0"), pairs, compression)
+    hadoop_sequence_file(spark, str(tmp_path / "in/part-1"), [], compression)
+    hadoop_sequence_file(spark, str(tmp_path / "in/part-2"), pairs[:5], compression)
+    lines = read_sequence_lines(spark, str(tmp_path / "in"))
+    assert rows(lines) == sorted(pairs + pairs[:5], key=repr)
+    if compression == "NONE":
+        assert lines.groupBy(F.spark_partition_id()).count().count() > 2
+
+
+def test_sequence_records_stay_out_of_python(spark, tmp_path):
+    hadoop_sequence_file(spark, str(tmp_path / "in/part-0"), [(1, "A B C")])
+    lines = read_sequence_lines(spark, str(tmp_path / "in"))
+    plan = lines._jdf.queryExecution().toString()
+    assert "SerializeFromObject" in plan and "Python" not in plan and "Scan ExistingRDD" not in plan
+
+
+def test_sequence_files_without_records_or_with_other_bytes(spark, tmp_path):
+    hadoop_sequence_file(spark, str(tmp_path / "none/part-0"), [])
+    assert rows(read_sequence_lines(spark, str(tmp_path / "none"))) == []
+    broken = [(1, bytearray(b"a\xffb")), (1, bytearray(b"a\xffb")), (2, bytearray(b"\r\n"))]
+    hadoop_sequence_file(spark, str(tmp_path / "in/part-0"), broken)
+    assert rows(read_sequence_lines(spark, str(tmp_path / "in"))) == [(1, "a\ufffdb"), (1, "a\ufffdb"), (2, "\r\n")]
+    with pytest.raises(Exception, match="does not exist"):
+        read_sequence_lines(spark, str(tmp_path / "missing")).collect()
+
+
 def test_text_lines_have_byte_offsets(spark, tmp_path):
     (tmp_path / "a").write_bytes("A B C\t1990\t3\né\nlast".encode())
     (tmp_path / "b").write_bytes(b"other\n")
