@@ -97,3 +97,8 @@ def test_every_query_has_columns_and_sql(spark):
     assert set(sql) <= set(queries)
     optional = set(contract._optional_queries())
     assert set(queries) - set(sql) <= optional
+
+
+def test_trigrams_are_cut_without_a_regular_expression(docs):
+    text = plan(counts_of_documents(docs))
+    assert "substring_index(trigram" in text and "split(trigram" not in text
