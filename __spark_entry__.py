@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.counts import corpus_total
@@ -28,7 +28,7 @@ from wordloom.operators.parse import (
 )
 from wordloom.operators.probability import WORDS
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
-from wordloom.plans.next_words import write_next_words
+from wordloom.plans.next_words import write_knowledge_base
 from wordloom.plans.staging import new_path
 from wordloom.plans.stop_list import remove_stop_words
 from wordloom.sinks.text import (
@@ -180,15 +180,12 @@ def _without_stop_words(spark: SparkSession, sf_dir: str, **options: int) -> Dat
 
 def _next_word_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows the last two words of each document, wherever else they stand."""
-    table = write_next_words(_kb(spark, sf_dir).ranked, new_path(spark, "next_words"))
-    letters = F.trim(F.upper(F.regexp_replace("text", "[^A-Za-z]+", " ")))
-    last = F.split(F.regexp_extract(letters, "([A-Z]+ [A-Z]+)$", 1), " ")
-    ends = _docs(spark, sf_dir).select(last.alias("last")).where(F.size("last") == 2)
-    return table.lookup(ends.select(_last_word("last", 0, "w1"), _last_word("last", 1, "w2")), TOP_K)
-
-
-def _last_word(words: str, i: int, name: str) -> Column:
-    return F.get(words, F.lit(i)).alias(name)
+    table = write_knowledge_base(_kb(spark, sf_dir), new_path(spark, "next_words"))
+    # Read from the end, a text gives its last two words without a look at the rest.
+    last = r"\A[^A-Za-z]*+([A-Za-z]++)[^A-Za-z]++([A-Za-z]++)"
+    first, second = (F.upper(F.reverse(F.regexp_extract(F.reverse("text"), last, i))) for i in (2, 1))
+    ends = _docs(spark, sf_dir).select(first.alias("w1"), second.alias("w2")).where("w2 <> ''")
+    return table.lookup(ends, TOP_K)
 
 
 def entry(spark: SparkSession) -> DataFrame:

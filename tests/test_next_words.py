@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from tables import rows
 
-from wordloom.plans.next_words import write_next_words
+from wordloom.plans.knowledge_base import KnowledgeBase
+from wordloom.plans.next_words import write_knowledge_base, write_next_words
 from wordloom.plans.staging import new_path
 
 PAIRS = "w1 string, w2 string"
@@ -92,3 +93,25 @@ def test_more_pairs_prune_folders_while_running(spark, table):
 def test_a_hot_pair_is_in_several_files(spark, ranked, table):
     files = table.rows.where("w1 = 'HOT'").select(F.input_file_name()).distinct().count()
     assert files > 1
+
+
+def test_a_knowledge_base_is_laid_out_in_one_shuffle_of_the_table(spark):
+    """The numbering is done in the order of the layout, also where pairs are cut into slices."""
+    counts = spark.range(600).selectExpr(
+        "concat('A', id % 3) as w1", "'B' as w2", "concat('C', id) as w3", "id % 5 + 1 as r1", "id % 7 as r2"
+    )
+    for slice_rows in (20, 10_000):
+        kb = KnowledgeBase(counts, min_slice_rows=slice_rows)
+        placed = kb.ranked_by(bucket=F.pmod(F.xxhash64("w1"), F.lit(2)))
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange rangepartitioning(bucket") == plan.count("Exchange rangepartitioning") == 1
+        table = write_knowledge_base(kb, new_path(spark, "next_words"), buckets=4)
+        assert rows(table.rows.select("w1", "w2", "w3", "p", "pos")) == rows(kb.ranked)
+        asked = spark.createDataFrame([("A1", "B"), ("A9", "B")], PAIRS)
+        assert rows(table.lookup(asked, 2)) == rows(kb.ranked.where("w1 = 'A1' and pos <= 2"))
+
+
+def test_statistics_that_are_broadcast_need_no_copy_of_the_table(spark):
+    counts = spark.range(600).selectExpr("'A' as w1", "'B' as w2", "concat('C', id) as w3", "id % 5 as r1", "1L as r2")
+    kb = KnowledgeBase(counts, min_slice_rows=20)
+    assert kb.ranked.count() == 600 and "staged_table" not in vars(kb)

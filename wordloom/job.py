@@ -14,7 +14,7 @@ from wordloom.operators.counts import count_trigrams
 from wordloom.operators.parse import check_lines, split_corpus
 from wordloom.operators.stopwords import read_stop_words
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
-from wordloom.plans.next_words import write_next_words
+from wordloom.plans.next_words import write_knowledge_base
 from wordloom.plans.staging import free, new_path, stage
 from wordloom.plans.stop_list import remove_stop_words
 from wordloom.sinks.text import key_value_lines, table_lines, write_lines
@@ -76,7 +76,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
     if args.statistics:
         kb.stats.write.parquet(args.statistics)
     if args.lookup:
-        write_next_words(kb.ranked, args.lookup)
+        write_knowledge_base(kb, args.lookup)
     if args.top:
         table = kb.next_words(args.top).orderBy("w1", "w2", "pos")
         lines = key_value_lines(table, ["w1", "w2", "w3"], ["p", "pos"])

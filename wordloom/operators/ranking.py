@@ -30,19 +30,21 @@ def next_words(table: DataFrame, k: int) -> DataFrame:
     )
 
 
-def number_rows(table: DataFrame) -> DataFrame:
+def number_rows(table: DataFrame, lead: tuple[str, ...] = ()) -> DataFrame:
     """``table`` in global order with ``pos``, the position within its pair.
 
     A single shuffle: range partitions on the pair satisfy both the window and the order.
     All rows of a pair meet in one task; see :func:`number_rows_sliced` for large pairs.
+    ``lead`` names columns that depend on the pair only and come first in the order; they are kept.
     """
-    return _number(table.repartitionByRange(*PAIR), PAIR)
+    group = [*lead, *PAIR]
+    return _number(table.repartitionByRange(*group), group, lead)
 
 
-def _number(ranged: DataFrame, group: list[str]) -> DataFrame:
+def _number(ranged: DataFrame, group: list[str], kept: tuple[str, ...]) -> DataFrame:
     window = Window.partitionBy(*group).orderBy(F.desc("p"), "w3")
     return ranged.withColumn("pos", F.row_number().over(window).cast("bigint")).select(
-        "w1", "w2", "w3", "p", *group[2:], "pos"
+        "w1", "w2", "w3", "p", *kept, "pos"
     )
 
 
@@ -92,7 +94,9 @@ def _with_slice(table: DataFrame, cuts: DataFrame, longest: int) -> DataFrame:
     return found.drop("key")
 
 
-def number_rows_sliced(table: DataFrame, cuts: DataFrame, longest: int) -> DataFrame:
+def number_rows_sliced(
+    table: DataFrame, cuts: DataFrame, longest: int, lead: tuple[str, ...] = ()
+) -> DataFrame:
     """As :func:`number_rows`, but the pairs in ``cuts`` are numbered slice by slice.
 
     Slices follow the order of the rows, so a row's position is its place in its slice
@@ -111,7 +115,8 @@ def number_rows_sliced(table: DataFrame, cuts: DataFrame, longest: int) -> DataF
         .agg(F.count("*").alias("rows"))
         .select(*group, F.sum("rows").over(before).alias("rows_before"))
     )
-    numbered = _number(sliced.drop("cuts").repartitionByRange(*group), group)
+    ordered = [*lead, *group]
+    numbered = _number(sliced.drop("cuts").repartitionByRange(*ordered), ordered, (*lead, "slice"))
     return numbered.join(F.broadcast(offsets), group, "left").select(
-        "w1", "w2", "w3", "p", (F.col("pos") + F.coalesce("rows_before", F.lit(0))).alias("pos")
+        "w1", "w2", "w3", "p", *lead, (F.col("pos") + F.coalesce("rows_before", F.lit(0))).alias("pos")
     )

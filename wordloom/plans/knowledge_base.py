@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import WORD
@@ -127,6 +127,16 @@ class KnowledgeBase:
     def staged_table(self) -> DataFrame:
         return stage(self.table, "table", below=self.folder)
 
+    @cached_property
+    def staged_cuts(self) -> dict[int, DataFrame]:
+        return {}
+
+    def _cuts(self, table: DataFrame, slice_rows: int) -> DataFrame:
+        if slice_rows not in self.staged_cuts:
+            cuts = slice_cuts(table, slice_rows, POINTS_PER_SLICE)
+            self.staged_cuts[slice_rows] = stage(cuts, f"slice_cuts_{slice_rows}", below=self.folder)
+        return self.staged_cuts[slice_rows]
+
     @property
     def table_from_rows(self) -> DataFrame:
         """``w1, w2, w3, p`` by way of :attr:`stats_rows`."""
@@ -138,32 +148,32 @@ class KnowledgeBase:
 
     @property
     def ranked(self) -> DataFrame:
-        """``w1, w2, w3, p, pos`` in global order.
+        """``w1, w2, w3, p, pos`` in global order; see :meth:`ranked_by`."""
+        return self.ranked_by()
+
+    def ranked_by(self, **lead: Column) -> DataFrame:
+        """``w1, w2, w3, p, pos`` in the order of ``lead``, then as the table is.
 
-        A pair holding many rows is cut into slices of at least ``min_slice_rows``, which
+        ``lead`` are columns that depend on the pair only; they are kept before ``pos``. A pair holding many rows is cut into slices of at least ``min_slice_rows``, which
         tasks number independently. The number of cuts is checked before they are
         broadcast; should there be too many, the slices are made larger.
         """
         rows, trigrams = self.sizes
         slice_rows = max(self.min_slice_rows, -(-trigrams // self.max_slices))
-        # Cuts, slice totals and the result read the table: it is written if they do, or if
-        # it takes a shuffled join.
-        several = trigrams >= 2 * slice_rows or rows > self.max_broadcast_rows
-        table = self.staged_table if several else self.table
+        # Cuts, slice totals and the result read the table. With broadcast statistics that is a
+        # scan of the counts; only what takes a shuffled join is written first.
+        table = self.staged_table if rows > self.max_broadcast_rows else self.table
+        placed = table.withColumns(lead) if lead else table
         while trigrams >= 2 * slice_rows:
-            cuts = stage(
-                slice_cuts(table, slice_rows, POINTS_PER_SLICE),
-                f"slice_cuts_{slice_rows}",
-                below=self.folder,
-            )
+            cuts = self._cuts(table, slice_rows)
             size = F.size("cuts")
             total, longest = cuts.agg(F.sum(size), F.max(size)).first()
             if total is None:
                 break
             if total <= 2 * self.max_slices:
-                return number_rows_sliced(table, cuts, longest)
+                return number_rows_sliced(placed, cuts, longest, tuple(lead))
             slice_rows *= 2
-        return number_rows(table)
+        return number_rows(placed, tuple(lead))
 
     def next_words(self, k: int) -> DataFrame:
         """The ``k`` most probable third words of every pair, in no particular order.
