@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.ngrams import text_trigrams
@@ -42,19 +42,48 @@ def document_occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
+def _text_counts(docs: DataFrame, spelled_every: int | None) -> DataFrame:
+    """``doc_id, trigram, n``: the distinct trigrams of every row, without a shuffle.
+
+    In the sorted array of a text's trigrams, equal ones stand together. ``ends`` has the places
+    where one is the last of its kind; the distance to the place before is its count.
+    """
+    spelled = None if spelled_every is None else F.col("doc_id") % spelled_every == 0
+    every = docs.select(
+        "doc_id", F.sort_array(text_trigrams(F.col("text"), keep_case=spelled)).alias("every")
+    )
+
+    def is_last(at: Column) -> Column:
+        return (at < F.size("every")) & ~F.get("every", at).eqNullSafe(F.get("every", at + 1))
+
+    ends = F.filter(F.sequence(F.lit(0), F.size("every")), is_last)
+    # Before a plain posexplode, Spark would look for empty arrays, and sort once more for each place.
+    placed = every.select("doc_id", "every", ends.alias("ends")).select(
+        "doc_id", "every", "ends", F.posexplode_outer("ends").alias("i", "at")
+    ).where("at is not null")
+    before = F.coalesce(F.get("ends", F.col("i") - 1), F.lit(-1))
+    return placed.select(
+        "doc_id",
+        F.get("every", F.col("at")).alias("trigram"),
+        (F.col("at") - before).cast("bigint").alias("n"),
+    )
+
+
 def document_lines(docs: DataFrame, spelled_every: int | None = None) -> DataFrame:
     """``line_id, line``: one n-gram line in upper case per document and trigram.
 
     With ``spelled_every`` n, documents whose id is divisible by n keep their spelling, so
     that there are lines in lower and mixed case too, which the line pattern rejects.
+
+    A text's trigrams are counted in its own row, so no trigram is shuffled: only the texts are
+    dealt by ``doc_id``, to find ids that several rows share. The counts of these are summed.
     """
-    spelled = None if spelled_every is None else F.col("doc_id") % spelled_every == 0
-    per_document = (
-        docs.select(
-            "doc_id", F.explode(text_trigrams(F.col("text"), keep_case=spelled)).alias("trigram")
-        )
-        .groupBy("doc_id", "trigram")
-        .agg(F.count("*").alias("n"))
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
+    same = docs["doc_id"].eqNullSafe(repeated["doc_id"])
+    once = _text_counts(docs.join(repeated, same, "left_anti"), spelled_every)
+    several = _text_counts(docs.join(repeated, same, "left_semi"), spelled_every)
+    per_document = once.unionByName(
+        several.groupBy("doc_id", "trigram").agg(F.sum("n").alias("n"))
     )
     return per_document.select(
         F.col("doc_id").alias("line_id"),
