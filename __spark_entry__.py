@@ -31,6 +31,7 @@ from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, co
 from wordloom.plans.next_words import write_knowledge_base
 from wordloom.plans.staging import new_path
 from wordloom.plans.stop_list import remove_stop_words
+from wordloom.sinks.sequence import write_sequence_lines
 from wordloom.sinks.text import (
     COUNT_FIELDS,
     TABLE_FIELDS,
@@ -78,9 +79,6 @@ SPELLED_EVERY = 10
 TEXT_FILES = 16
 # Bounds so small that the plans for large tables are taken at any scale.
 FEW_BROADCAST_ROWS, SMALL_SLICE = 5, 20
-# PySpark writes an integer key as LongWritable only above 32 bits: keys of the SequenceFiles
-# written below are raised by this even number, which leaves their parity as it is.
-KEY_SHIFT = 1 << 40
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,15 +105,8 @@ def _kb(spark: SparkSession, sf_dir: str) -> KnowledgeBase:
 
 def _sequence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "sequence_lines")
-    pairs = _spelled_lines(spark, sf_dir).select(F.col("line_id") + KEY_SHIFT, "line")
-    pairs.rdd.map(tuple).saveAsNewAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        keyClass="org.apache.hadoop.io.LongWritable",
-        valueClass="org.apache.hadoop.io.Text",
-    )
-    lines = read_sequence_lines(spark, path)
-    return lines.withColumn("line_id", F.col("line_id") - KEY_SHIFT)
+    write_sequence_lines(_spelled_lines(spark, sf_dir), path)
+    return read_sequence_lines(spark, path)
 
 
 def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,14 @@ def test_tables_with_many_splits_are_not_moved(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_sequence_lines_are_written_in_the_jvm(spark):
+    from wordloom.plans.staging import new_path
+    from wordloom.sinks.sequence import write_sequence_lines
+    from wordloom.sources.lines import read_sequence_lines
+
+    path = new_path(spark, "sequence")
+    lines = [(-3, "a"), (0, ""), (7, "ä b\tc"), (1 << 40, "d")]
+    write_sequence_lines(spark.createDataFrame(lines, "line_id long, line string"), path)
+    assert sorted(map(tuple, read_sequence_lines(spark, path).collect())) == lines
