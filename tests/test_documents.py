@@ -1,9 +1,13 @@
 """N-gram lines of documents: counted in the row, summed where rows share an id."""
 
+import re
 from collections import Counter
 
+from pyspark.sql import functions as F
 from tables import rows
 
+import __spark_entry__ as contract
+from wordloom.plans.staging import new_path
 from wordloom.sources.documents import _text_counts, document_lines
 
 TEXTS = [(1, "a b c a b c"), (2, None), (3, "x y"), (4, ""), (5, "A b C. a B c"), (5, "a b c d"), (None, "p q r"), (None, "p q r s"), (-6, "m n o p m n o")]
@@ -23,3 +27,12 @@ def test_a_text_is_counted_without_a_shuffle(spark):
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
     plan = _text_counts(docs, None)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_every_text_file_has_a_task_of_its_own(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(contract, "new_path", lambda *names: made.append(new_path(*names)) or made[-1])
+    contract.queries()["text_scan"](spark, "/root/testdata/sf0.001")
+    files = spark.read.text(made[0]).select("file", F.input_file_name().alias("path")).distinct().collect()
+    tasks = [re.search(r"part-(\d+)", row["path"])[1] for row in files]
+    assert len(tasks) == len(set(tasks)) == contract.TEXT_FILES
