@@ -30,7 +30,7 @@ from wordloom.operators.probability import WORDS
 from wordloom.plans.knowledge_base import KnowledgeBase, counts_of_documents, counts_of_lines
 from wordloom.plans.next_words import write_knowledge_base
 from wordloom.plans.staging import new_path
-from wordloom.plans.stop_list import remove_stop_words
+from wordloom.plans.stop_list import count_without_stop_words
 from wordloom.sinks.sequence import write_sequence_lines
 from wordloom.sinks.text import (
     COUNT_FIELDS,
@@ -167,7 +167,7 @@ def _step_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _without_stop_words(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     words = spark.createDataFrame([(w,) for w in STOP_WORDS], "word STRING")
-    return remove_stop_words(_counts(spark, sf_dir), words, **options)
+    return count_without_stop_words(_docs(spark, sf_dir), words, **options)
 
 
 def _next_word_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,22 +80,34 @@ def corpus_part(line_id: Column) -> Column:
     return F.when(line_id % 2 == 0, F.lit(1)).otherwise(F.lit(2))
 
 
-def text_trigrams(text: Column, *, keep_case: Column | None = None) -> Column:
-    """Array of all overlapping ``"W1 W2 W3"`` of a text, over its runs of ASCII letters.
+def text_letters(text: Column, *, keep_case: Column | None = None) -> Column:
+    """The runs of ASCII letters of a text, in upper case, with single spaces between.
 
-    The text is first reduced to letters and single spaces. A zero-width look-ahead at
-    each word start then captures that word and the two after it, so the array comes out
-    of one pass without lambda functions. Upper-casing happens after the reduction:
-    doing it before would turn some non-ASCII letters into ASCII ones.
+    Upper-casing happens after the reduction: doing it before would turn some non-ASCII
+    letters into ASCII ones.
     """
     letters = F.regexp_replace(text, "[^A-Za-z]+", " ")
     upper = F.upper(letters)
-    cased = upper if keep_case is None else F.when(keep_case, letters).otherwise(upper)
+    return F.trim(upper if keep_case is None else F.when(keep_case, letters).otherwise(upper))
+
+
+def letter_trigrams(letters: Column) -> Column:
+    """Array of all overlapping ``"W1 W2 W3"`` of :func:`text_letters`.
+
+    A zero-width look-ahead at each word start captures that word and the two after it, so
+    the array comes out of one pass without lambda functions. None spans anything but
+    letters and single spaces.
+    """
     return F.regexp_extract_all(
-        F.trim(cased), F.lit(r"\b(?=([A-Za-z]++ [A-Za-z]++ [A-Za-z]++))"), F.lit(1)
+        letters, F.lit(r"\b(?=([A-Za-z]++ [A-Za-z]++ [A-Za-z]++))"), F.lit(1)
     )
 
 
+def text_trigrams(text: Column, *, keep_case: Column | None = None) -> Column:
+    """Array of all overlapping ``"W1 W2 W3"`` of a text, over its runs of ASCII letters."""
+    return letter_trigrams(text_letters(text, keep_case=keep_case))
+
+
 def deleted_estimation(tr1: Column, tr2: Column, nr1: Column, nr2: Column, n: Column) -> Column:
     """``(tr1 + tr2) / (n * (nr1 + nr2))`` in double arithmetic, NULL where it is 0/0."""
     return F.try_divide(

@@ -5,10 +5,15 @@ Words are compared in upper case on both sides, so a list fits whatever ``--word
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.functions.ngrams import text_letters
+
 WORDS = ("w1", "w2", "w3")
+# Stands for a stop word in a text: neither a letter nor a space, so no trigram spans it.
+GAP = "0"
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
@@ -45,3 +50,44 @@ def without_listed(counts: DataFrame, listed: DataFrame) -> DataFrame:
     own = F.array_distinct(F.array(*[F.upper(w) for w in WORDS]))
     found = counts.select(*WORDS, F.explode(own).alias("word")).join(listed, "word", "left_semi")
     return counts.join(found.select(*WORDS).distinct(), list(WORDS), "left_anti")
+
+
+def words_of_texts(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, letters, words``: the texts of ``docs(doc_id, text)`` reduced to letters, and their
+    distinct words. ``row`` is unique, but another one whenever it is worked out: to be staged."""
+    letters = docs.select("doc_id", text_letters(F.col("text")).alias("letters"))
+    return letters.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        "letters",
+        F.array_distinct(F.split("letters", " ")).alias("words"),
+    )
+
+
+def listed_words(words: DataFrame, hot: DataFrame, listed: DataFrame) -> DataFrame:
+    """``row, listed``: of every row of ``words(row, word)``, those words that ``hot(word, listed)`` or
+    ``listed(word)`` have on the list. ``hot`` is broadcast and has all words, on the list or not,
+    that are too frequent to be shuffled."""
+    found = words.join(F.broadcast(hot.where("listed").select("word")), "word", "left_semi")
+    others = words.join(F.broadcast(hot.select("word")), "word", "left_anti")
+    found = found.unionByName(others.join(listed, "word", "left_semi"))
+    return found.groupBy("row").agg(F.collect_list("word").alias("listed"))
+
+
+def without_words(letters: Column, listed: Column) -> Column:
+    """``letters`` with a gap for every word that is in the array ``listed`` (null: none).
+
+    In Python, since Spark's functions look arrays up from end to end: the time would grow with
+    the product of a text's words and those listed.
+    """
+
+    @F.pandas_udf("string")
+    def gaps(letters: pd.Series, listed: pd.Series) -> pd.Series:
+        def cut(text: str, words) -> str:
+            words = set(words)
+            return " ".join([GAP if word in words else word for word in text.split(" ")])
+
+        cuts = [t if t is None or w is None else cut(t, w) for t, w in zip(letters, listed)]
+        return pd.Series(cuts, dtype=object)
+
+    return gaps(letters, listed)

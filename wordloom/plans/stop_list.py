@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.stopwords import without_listed, without_stop_words, words_in_use
-from wordloom.plans.staging import MAX_BROADCAST_ROWS, stage
+from wordloom.operators.counts import count_trigrams
+from wordloom.operators.parse import split_corpus
+from wordloom.operators.stopwords import (
+    listed_words,
+    without_listed,
+    without_stop_words,
+    without_words,
+    words_in_use,
+    words_of_texts,
+)
+from wordloom.plans.knowledge_base import counts_of_documents
+from wordloom.plans.staging import MAX_BROADCAST_ROWS, new_path, stage
+from wordloom.sources.documents import letter_occurrences
 
 
 def remove_stop_words(
@@ -34,3 +45,39 @@ def remove_stop_words(
     share = max(1, counts.count() // max(1, max_rows))
     hot, others = used.where(F.col("trigrams") > share), used.where(F.col("trigrams") <= share)
     return without_listed(without_stop_words(counts, F.broadcast(hot.select("word"))), others.select("word"))
+
+
+def count_without_stop_words(
+    docs: DataFrame, stop_words: DataFrame, below: str | None = None, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Trigram counts of ``docs(doc_id, text)`` without trigrams of which any word is in
+    ``stop_words(word)``; exact, and the same rows as :func:`remove_stop_words` on all counts.
+
+    - A list of up to ``max_rows`` words is broadcast to the counts; so are the listed words in use
+      if only they are as few. These are found by a join of the texts' vocabulary with the list.
+    - Of more, no trigram is shuffled to meet the list: the distinct words of every text are, which
+      are far fewer, and only those that are not in more than ``1 / max_rows`` of such rows (the
+      others, fewer than ``max_rows``, are broadcast). The listed words of each text then meet the text
+      in a shuffle of the texts, and leave gaps there. Only trigrams that stay are made and counted.
+    """
+    below = below or new_path(docs.sparkSession, "stop_words")
+    listed = stage(stop_words.select(F.upper("word").alias("word")).distinct(), "stop_list", below=below)
+    if listed.count() <= max_rows:
+        return without_stop_words(counts_of_documents(docs), F.broadcast(listed))
+    texts = stage(words_of_texts(docs), "words_of_texts", below=below)
+    words = texts.select("row", F.explode("words").alias("word"))
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("texts"))
+    on_list = listed.select("word", F.lit(True).alias("on_list"))
+    vocabulary = vocabulary.join(on_list, "word", "left").select(
+        "word", "texts", F.coalesce("on_list", F.lit(False)).alias("listed")
+    )
+    vocabulary = stage(vocabulary, "vocabulary", below=below)
+    used = vocabulary.where("listed").select("word")
+    if used.count() <= max_rows:
+        return without_stop_words(counts_of_documents(docs), F.broadcast(used))
+    share = max(1, vocabulary.agg(F.sum("texts")).first()[0] // max(1, max_rows))
+    hot, others = vocabulary.where(F.col("texts") > share), vocabulary.where(F.col("texts") <= share)
+    found = listed_words(words, hot, others.where("listed").select("word"))
+    gaps = without_words(F.col("letters"), F.col("listed")).alias("letters")
+    letters = texts.join(found, "row", "left").select("doc_id", gaps)
+    return count_trigrams(split_corpus(letter_occurrences(letters)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.functions.ngrams import text_trigrams
+from wordloom.functions.ngrams import letter_trigrams, text_trigrams
 
 DOCUMENTS_SCHEMA = "doc_id BIGINT, text STRING"
 
@@ -37,7 +37,18 @@ def document_trigrams(docs: DataFrame) -> DataFrame:
 
 def document_occurrences(docs: DataFrame) -> DataFrame:
     """The trigrams of documents in the shape of parsed lines, each occurring once."""
-    return document_trigrams(docs).select(
+    return _once_each(document_trigrams(docs))
+
+
+def letter_occurrences(letters: DataFrame) -> DataFrame:
+    """The same of ``letters(doc_id, letters)``, texts that are reduced to letters already."""
+    return _once_each(
+        letters.select("doc_id", F.explode(letter_trigrams(F.col("letters"))).alias("trigram"))
+    )
+
+
+def _once_each(trigrams: DataFrame) -> DataFrame:
+    return trigrams.select(
         F.col("doc_id").alias("line_id"), "trigram", F.lit(1).cast("bigint").alias("occurrences")
     )
 
