@@ -72,12 +72,13 @@ def count_without_stop_words(
         "word", "texts", F.coalesce("on_list", F.lit(False)).alias("listed")
     )
     vocabulary = stage(vocabulary, "vocabulary", below=below)
-    used = vocabulary.where("listed").select("word")
+    # A table of its own, so that Spark knows its size.
+    used = stage(vocabulary.where("listed"), "stop_words_in_use", below=below)
     if used.count() <= max_rows:
-        return without_stop_words(counts_of_documents(docs), F.broadcast(used))
+        return without_stop_words(counts_of_documents(docs), F.broadcast(used.select("word")))
     share = max(1, vocabulary.agg(F.sum("texts")).first()[0] // max(1, max_rows))
-    hot, others = vocabulary.where(F.col("texts") > share), vocabulary.where(F.col("texts") <= share)
-    found = listed_words(words, hot, others.where("listed").select("word"))
+    hot, others = vocabulary.where(F.col("texts") > share), used.where(F.col("texts") <= share)
+    found = listed_words(words, hot, others.select("word"))
     gaps = without_words(F.col("letters"), F.col("listed")).alias("letters")
     letters = texts.join(found, "row", "left").select("doc_id", gaps)
     return count_trigrams(split_corpus(letter_occurrences(letters)))
