@@ -55,8 +55,13 @@ ITEMS_AT_ONCE = 2_000
 WORDS_AT_ONCE = 1 << 16
 # Up to so many passages, an item's candidates are checked for its words all at once.
 FEW_PASSAGES = 4
-PASSAGES_AT_ONCE = 1 << 14
-FEW_RUNS = 64
+PASSAGES_AT_ONCE = 1 << 12
+# Rows of a table gathered for one product, and bytes of text hashed side by side: what stays in a
+# processor's cache costs a third of what does not.
+ROWS_AT_ONCE = 1 << 12
+BYTES_AT_ONCE = 1 << 19
+# Words of up to so many bytes are hashed side by side.
+SHORT = 32
 ALNUM = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 HITS = "doc_id long, item_id long, cosine double, common double, answer boolean"
 
@@ -66,12 +71,51 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
 
 
+def crc_table() -> np.ndarray:
+    """What CRC-32 makes of each byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+CRC = crc_table()
+
+
+def hashes_side_by_side(texts: list[bytes]) -> list[np.ndarray]:
+    """:func:`word_hashes` of each text; the n-th bytes of all words are taken at once, longer words
+    first, so that those not at their end are always the first ones."""
+    flat = np.frombuffer(b" ".join([b"", *texts, b""]).lower().translate(ALNUM), np.uint8)
+    inside = flat != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    short = np.where(size > SHORT, 0, size)
+    order = np.argsort((SHORT - short).astype(np.uint8), kind="stable")
+    at, state = start[order], np.full(len(start), 0xFFFFFFFF, np.uint32)
+    left = len(start) - np.cumsum(np.bincount(short, minlength=SHORT + 1))
+    for nth, n in enumerate(left[left > 0].tolist()):
+        own = state[:n]
+        state[:n] = CRC[(own ^ flat[at[:n] + nth]) & 0xFF] ^ (own >> np.uint32(8))
+    hashes = np.empty_like(state)
+    hashes[order] = ~state
+    for i in np.flatnonzero(size > SHORT).tolist():
+        hashes[i] = zlib.crc32(flat[start[i] : start[i] + size[i]])
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    return np.split(hashes, np.searchsorted(start, ends[:-1]))
+
+
 def hashed_words(docs: DataFrame) -> DataFrame:
     """``doc_id, words``: 32-bit hashes of the words of each text that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [word_hashes(text.as_py()).tobytes() for text in batch.column(1)]
+            words, texts, size = [], [], 0
+            for left, text in zip(range(batch.num_rows - 1, -1, -1), batch.column(1)):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= BYTES_AT_ONCE or not left:
+                    words += [own.tobytes() for own in hashes_side_by_side(texts)]
+                    texts, size = [], 0
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(words, pa.binary())], ["doc_id", "words"]
             )
@@ -91,6 +135,8 @@ class Lot:
     words: np.ndarray  # (passages, PASSAGE), uint32
     used: np.ndarray  # which of them are words, and the first of their kind in the passage
     owner: np.ndarray  # the document of each passage
+    first: np.ndarray  # the first passage of that document, and the one after its last
+    end: np.ndarray
     features: np.ndarray
 
 
@@ -104,14 +150,14 @@ def lot_of(texts: list[np.ndarray], owners: list[int]) -> Lot:
         real[at : at + len(text)] = True
     features = (words % FEATURES).astype(np.int64)
     # Sorting puts equal features of a passage side by side; fillers sort behind everything.
-    keyed = np.where(used, features, FEATURES) * PASSAGE + np.arange(PASSAGE)
+    keyed = np.where(used, features, FEATURES).astype(np.int32) * PASSAGE + np.arange(PASSAGE, dtype=np.int32)
     keyed.sort(axis=1)
     kinds = keyed // PASSAGE
-    again = np.zeros(words.shape, bool)
-    again[:, 1:] = kinds[:, 1:] == kinds[:, :-1]
-    rows = np.arange(len(words))[:, None]
-    used[rows, keyed % PASSAGE] &= ~again
-    return Lot(words, used, np.repeat(owners, counts), features)
+    row, at = np.nonzero(kinds[:, 1:] == kinds[:, :-1])
+    used[row, keyed[row, at + 1] % PASSAGE] = False
+    end = np.cumsum(counts)
+    owner, first = np.repeat(owners, counts), np.repeat(end - counts, counts)
+    return Lot(words, used, owner, first, np.repeat(end, counts), features)
 
 
 def lots(batch: pa.RecordBatch, twice: int = 2) -> Iterator[Lot]:
@@ -169,6 +215,16 @@ def added_up(words: DataFrame, matrix, shape: tuple[int, int]) -> np.ndarray:
     return total
 
 
+def products(lot: Lot, weights: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """For each passage the sum of its features' rows of ``table``, by ``weights`` of its words."""
+    out = np.empty((len(weights), 1, table.shape[1]), np.float32)
+    step = ROWS_AT_ONCE // PASSAGE
+    for lo in range(0, len(out), step):
+        some = slice(lo, lo + step)
+        np.matmul(weights[some, None, :], table.take(lot.features[some], axis=0), out=out[some])
+    return out[:, 0]
+
+
 @dataclass
 class LatentSpace:
     """Weights of features, and their places in the latent space (weights included)."""
@@ -178,9 +234,7 @@ class LatentSpace:
 
     def sums(self, lot: Lot) -> np.ndarray:
         """The passages' vectors in the latent space, not brought to length 1."""
-        own = self.places[lot.features]
-        own[~lot.used] = 0
-        return own.sum(axis=1)
+        return products(lot, lot.used.astype(np.float32), self.places)
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -194,25 +248,23 @@ def passage_weights(lot: Lot, weights: np.ndarray) -> np.ndarray:
 def sums_of_runs(first: np.ndarray, row: np.ndarray, weight: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The sums of ``weight[i] * y[row[i]]`` over each run ``first[j] <= i < first[j + 1]``.
 
-    Long runs are one product each; the others are added up side by side, an element of each at
-    a time, the longest first, so that those not at their end are always the first ones.
+    Runs of about the same length are one product, the shorter filled up with weights of 0.
     """
     size = np.diff(first, append=len(row))
     order = np.argsort(-size, kind="stable")
     size, start = size[order], first[order]
-    total = np.zeros((len(first), y.shape[1]), y.dtype)
-    done, left = 0, len(first)
-    while left > FEW_RUNS:
-        at = start[:left] + done
-        total[:left] += y[row[at]] * weight[at][:, None]
-        done += 1
-        left = int(np.searchsorted(-size, -done))
-    for i in range(left):
-        rest = slice(start[i] + done, start[i] + size[i])
-        total[i] += weight[rest] @ y[row[rest]]
-    back = np.empty_like(total)
-    back[order] = total
-    return back
+    total = np.empty((len(first), y.shape[1]), y.dtype)
+    lo = 0
+    while lo < len(first):
+        longest = int(size[lo])
+        hi = lo + max(1, ROWS_AT_ONCE // longest)
+        nth = np.arange(longest)
+        at = np.minimum(start[lo:hi, None] + nth, len(row) - 1)
+        own = weight.take(at)
+        own[nth >= size[lo:hi, None]] = 0
+        total[order[lo:hi]] = np.einsum("nk,nkj->nj", own, y.take(row.take(at), axis=0))
+        lo = hi
+    return total
 
 
 def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: int = 3) -> LatentSpace:
@@ -232,7 +284,7 @@ def latent_space(words: DataFrame, rank: int = RANK, extra: int = EXTRA, seed: i
 
     def project(lot: Lot, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         tf_idf = passage_weights(lot, shared.value[0])
-        return tf_idf, np.matmul(tf_idf[:, None, :], basis[lot.features])[:, 0]
+        return tf_idf, products(lot, tf_idf, basis)
 
     def reach(lot: Lot, total: np.ndarray) -> None:
         tf_idf, y = project(lot, shared.value[1])
@@ -275,7 +327,9 @@ class Items:
     reach: np.ndarray  # the passages that each item fills
     masks: list[dict[int, int]]
     has: np.ndarray  # which features each item has
-    runs: list[tuple[int, np.ndarray, np.ndarray]]  # length; sorted hashes, the item of each
+    column: np.ndarray  # the number of each feature that some item has, from 1; 0: no item has it
+    wanted: dict[int, tuple[np.ndarray, np.ndarray]]  # by reach: the row of each item, their columns
+    runs: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # length; sorted hashes, the item of each, marks
 
 
 def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace) -> Items:
@@ -298,43 +352,72 @@ def describe_items(ids: list[int | None], texts: list[str], space: LatentSpace)
         for i, word in enumerate(own.tolist()):
             mask[word] = mask.get(word, 0) | 1 << i
         masks.append(mask)
-    bounds = np.where(np.array(filled) > 0, COSINE * np.sqrt(filled), 2)
+    bounds = least_float32(np.where(np.array(filled) > 0, COSINE * np.sqrt(filled), 2))
     sizes = np.array([len(own) for own in words], np.int64)
     vectors = unit_rows(np.array(vectors).reshape(len(owner), -1)).astype(np.float32)
     reach = np.maximum(1, -(-sizes // PASSAGE))
     whose = np.array(owner, np.int64)
     whole = np.searchsorted(whose, np.arange(len(words)))
+    column, wanted = np.zeros(FEATURES, np.int64), {}
+    column[has.any(axis=0)] = np.arange(1, np.count_nonzero(has.any(axis=0)) + 1)
+    for far in np.unique(reach[reach <= FEW_PASSAGES]).tolist():
+        mine = np.flatnonzero(reach == far)
+        row, columns = np.zeros(len(words), np.int64), np.zeros((len(mine), far * PASSAGE), np.int64)
+        row[mine] = np.arange(len(mine))
+        for own, k in zip(columns, mine.tolist()):
+            own[: sizes[k]] = column[words[k] % FEATURES]
+        wanted[far] = row, columns
     runs = []
     for size in sorted({min(RUN, len(own)) for own in words if len(own)}):
         mine = [i for i, own in enumerate(words) if min(RUN, len(own)) == size]
         own = [np.unique(run_hashes(words[i], size)) for i in mine]
         hashes, holder = np.concatenate(own), np.repeat(mine, [len(h) for h in own])
         order = np.argsort(hashes, kind="stable")
-        runs.append((size, hashes[order], holder[order]))
-    return Items(ids, words, answers, vectors, bounds, whose, whole, sizes, reach, masks, has, runs)
+        marks = np.zeros(1 << (16 * len(hashes)).bit_length(), bool)
+        marks[hashes & np.uint64(len(marks) - 1)] = True
+        runs.append((size, hashes[order], holder[order], marks))
+    return Items(ids, words, answers, vectors, bounds, whose, whole, sizes, reach, masks, has, column, wanted, runs)
+
+
+def least_float32(x: np.ndarray) -> np.ndarray:
+    """The least float32 that is no smaller, so that comparing float32 with it decides the same."""
+    near = x.astype(np.float32)
+    return np.where(near < x, np.nextafter(near, np.float32(np.inf)), near)
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """One hash for each run of ``size`` words."""
-    mixed = np.zeros(max(0, len(words) - size + 1), np.uint64)
-    for i in range(size):
-        mixed = (mixed + words[i : i + len(mixed)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    """One hash for each run of ``size`` words, made of those of runs of 1, 2, 4 and so on."""
+
+    def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        mixed = (a * np.uint64(0xC2B2AE3D27D4EB4F) + b + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
+        return mixed
+
+    number = max(0, len(words) - size + 1)
+    part = words.astype(np.uint64)
+    mixed, done, width = np.zeros(number, np.uint64), 0, 1
+    while width <= size:
+        if size & width:
+            mixed = joined(mixed, part[done : done + number])
+            done += width
+        if 2 * width <= size:
+            part = joined(part[:-width], part[width:])
+        width *= 2
     return mixed
 
 
 def same_runs(lot: Lot, items: Items) -> tuple[np.ndarray, np.ndarray]:
     """Passages in which a run of an item's words begins, and these items."""
     flat, passages, found = lot.words.ravel(), [], []
-    for size, hashes, holder in items.runs:
+    for size, hashes, holder, marks in items.runs:
         own = run_hashes(flat, size)
-        lo = np.searchsorted(hashes, own)
-        at = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == own)
+        at = np.flatnonzero(marks.take((own & np.uint64(len(marks) - 1)).view(np.int64)))
         at = at[lot.owner[at // PASSAGE] == lot.owner[(at + size - 1) // PASSAGE]]
-        many = np.searchsorted(hashes, own[at], "right") - lo[at]
+        lo = np.searchsorted(hashes, own[at])
+        many = np.searchsorted(hashes, own[at], "right") - lo
         nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         passages.append(np.repeat(at // PASSAGE, many))
-        found.append(holder[np.repeat(lo[at], many) + nth])
+        found.append(holder[np.repeat(lo, many) + nth])
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(passages), np.concatenate(found)
@@ -342,9 +425,7 @@ def same_runs(lot: Lot, items: Items) -> tuple[np.ndarray, np.ndarray]:
 
 def stretch(lot: Lot, passage: int, reach: int) -> slice:
     """The passages that hold a copy which ``passage`` or the pair it begins is part of."""
-    lo, hi = max(0, passage - reach), min(len(lot.owner), passage + reach + 2)
-    same = np.flatnonzero(lot.owner[lo:hi] == lot.owner[passage])
-    return slice(lo + int(same[0]), lo + int(same[-1]) + 1)
+    return slice(max(int(lot.first[passage]), passage - reach), min(int(lot.end[passage]), passage + reach + 2))
 
 
 def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.ndarray:
@@ -352,31 +433,33 @@ def likely(lot: Lot, items: Items, passage: np.ndarray, item: np.ndarray) -> np.
 
     No common subsequence is longer than the number of the item's words that occur at all.
     """
-    present = np.zeros((len(lot.words), FEATURES), bool)
     row, at = np.nonzero(lot.used)
-    present[row, lot.features[row, at]] = True
-    present = np.packbits(present, axis=1, bitorder="little")  # a bit per feature
+    column = items.column.take(lot.features[row, at])
+    # A bit per feature that some item has, in whole 64-bit numbers; column 0 is in no passage.
+    width = -(-(int(items.column.max()) + 1) // 64) * 64
+    present = np.zeros((len(lot.words), width), bool)
+    present[row, column] = True
+    present[:, 0] = False
+    present = np.packbits(present, axis=1, bitorder="little").view(np.uint64)
     number = np.zeros(len(passage), np.int64)
     reaches = items.reach[item]
-    for reach in np.unique(reaches[reaches <= FEW_PASSAGES]).tolist():
+    for reach, (place, columns) in items.wanted.items():
         # What the passages around each one hold, in one text.
         around = present.copy()
         for step in [*range(-reach, 0), *range(1, reach + 2)]:
-            here = np.arange(max(0, -step), len(present) - max(0, step))
-            here = here[lot.owner[here] == lot.owner[here + step]]
-            around[here] |= present[here + step]
+            pairs = max(0, len(present) - abs(step))
+            here, there = (slice(lo, lo + pairs) for lo in (max(0, -step), max(0, step)))
+            same = lot.owner[here] == lot.owner[there]
+            around[here] |= np.where(same[:, None], present[there], np.uint64(0))
+        held = around.view(np.uint8).ravel()
         which = np.flatnonzero(reaches == reach)
-        kinds, nth = np.unique(item[which], return_inverse=True)
-        features = np.zeros((len(kinds), reach * PASSAGE), np.int64)
-        real = np.zeros(features.shape, bool)
-        for own, there, k in zip(features, real, kinds.tolist()):
-            own[: items.sizes[k]] = items.words[k] % FEATURES
-            there[: items.sizes[k]] = True
+        at, bit = columns >> 3, (1 << (columns & 7)).astype(np.uint8)
         for lo in range(0, len(which), PASSAGES_AT_ONCE):
-            some = slice(lo, lo + PASSAGES_AT_ONCE)
-            wanted = features[nth[some]]
-            held = around[passage[which[some]][:, None], wanted >> 3] >> (wanted & 7).astype(np.uint8) & 1
-            number[which[some]] = (held.astype(bool) & real[nth[some]]).sum(axis=1)
+            some = which[lo : lo + PASSAGES_AT_ONCE]
+            nth = place.take(item[some])
+            found = held.take(at.take(nth, axis=0) + passage[some, None] * (width // 8))
+            found &= bit.take(nth, axis=0)
+            number[some] = np.count_nonzero(found, axis=1)
     for i in np.flatnonzero(reaches > FEW_PASSAGES).tolist():
         rows = stretch(lot, int(passage[i]), int(reaches[i]))
         there = np.zeros(FEATURES, bool)
@@ -424,10 +507,11 @@ def leaks(words: DataFrame, space: LatentSpace, items: Items) -> DataFrame:
                 own_score = cosine[begins, items.whole[whose]]
                 passage, item = np.concatenate([passage, begins]), np.concatenate([item, whose])
                 score = np.concatenate([score, own_score])
-                met, nth = np.unique(passage * len(items.words) + item, return_inverse=True)
-                highest = np.full(len(met), -1.0)
-                np.maximum.at(highest, nth, score)
-                passage, item = np.divmod(met, max(1, len(items.words)))
+                met = passage * len(items.words) + item
+                order = np.argsort(met, kind="stable")
+                first = np.flatnonzero(np.diff(met[order], prepend=-1))
+                passage, item = passage[order][first], item[order][first]
+                highest = np.maximum.reduceat(score[order], first) if len(first) else score
                 use = likely(lot, items, passage, item)
                 for p, k, c in zip(passage[use].tolist(), item[use].tolist(), highest[use].tolist()):
                     rows = stretch(lot, p, int(items.reach[k]))
