@@ -126,7 +126,10 @@ def _text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _kb_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "kb_text")
-    write_lines(table_lines(_kb(spark, sf_dir).sorted), path)
+    drop_shuffles(spark)
+    kb = _kb(spark, sf_dir)
+    write_lines(table_lines(kb.sorted), path, compression="gzip")
+    kb.free()  # all that is left to read is the text
     return parse_fields(read_text(spark, path), TABLE_FIELDS)
 
 
