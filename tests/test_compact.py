@@ -28,3 +28,13 @@ def test_kb_import_leaves_compressed_text_only(spark, tmp_path, folder):
     assert [p.name.split("-")[0] for p in folder.iterdir()] == ["kb_text"]
     assert {p.suffix for p in files(folder)} == {".gz"}
     assert rows(found) == rows(contract.queries()["kb_table_sorted"](spark, str(tmp_path)))
+
+
+def test_text_arity_leaves_compressed_text_only(spark, tmp_path, folder):
+    found = contract.queries()["text_arity"](spark, str(tmp_path))
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["steps_text"]
+    assert {p.suffix for p in files(folder)} == {".gz"}
+    trigrams = contract.queries()["trigram_counts"](spark, str(tmp_path)).count()
+    assert sorted(map(tuple, found.groupBy("kind").count().collect())) == [
+        ("counts", trigrams), ("other", 2 * trigrams), ("table", trigrams)
+    ]
