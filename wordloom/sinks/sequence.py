@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame
 def write_sequence_lines(lines: DataFrame, path: str) -> None:
     """``line_id, line`` as SequenceFiles of (LongWritable, Text), a file per partition.
 
-    The way back of :func:`wordloom.sources.lines.read_sequence_lines`: an encoder and Spark's
+    Records are compressed in blocks, by the codec of the session's Hadoop settings; such files can
+    still be split at sync marks. The way back of :func:`wordloom.sources.lines.read_sequence_lines`: an encoder and Spark's
     converters make the pairs in the JVM, no record passes through Python.
     """
     spark = lines.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = spark.sparkContext._jvm
+    conf = jvm.org.apache.hadoop.conf.Configuration(spark.sparkContext._jsc.hadoopConfiguration())
+    conf.set("mapreduce.output.fileoutputformat.compress", "true")
+    conf.set("mapreduce.output.fileoutputformat.compress.type", "BLOCK")
+    conf.setIfUnset("zlib.compress.level", "BEST_SPEED")
     loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
 
     def named(name: str):
